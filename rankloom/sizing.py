@@ -1,0 +1,36 @@
+"""Broadcast only what was measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def fits_broadcast(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> bool:
+    """Measure ``df``: True when it has at most ``max_rows`` rows and ``max_bytes``.
+
+    The limit keeps the measurement itself bounded: a larger table is read only
+    until one row more than allowed was seen.
+    """
+    row = (
+        df.select(F.octet_length(F.to_json(F.struct("*"))).alias("size"))
+        .limit(max_rows + 1)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+        .first()
+    )
+    return row["n"] <= max_rows and (row["bytes"] or 0) <= max_bytes
+
+
+def broadcast_if_small(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Hint a broadcast when the measurement allows it, else leave it to Catalyst."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
