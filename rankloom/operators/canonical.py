@@ -45,7 +45,7 @@ def canonicalise(records: DataFrame, as_of: Column, aliases=FIELD_ALIASES) -> Da
     # Zero and false are no usable ids either.
     falsy = ident.isNull() | (
         ~F.schema_of_variant(ident).isin("STRING")
-        & F.try_variant_get(ident, "$", "string").isin("0", "false", "[]", "{}")
+        & F.try_variant_get(ident, "$", "string").isin("0", "0.0", "false", "[]", "{}")
     )
     return records.select(
         *carried,

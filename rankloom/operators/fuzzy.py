@@ -60,8 +60,9 @@ def without_results(queries: DataFrame, results: DataFrame) -> DataFrame:
     return queries.join(results.select("query_id").distinct(), "query_id", "left_anti")
 
 
-def with_fallback(results: DataFrame, fuzzy: DataFrame) -> DataFrame:
+def with_fallback(results: DataFrame, retry: DataFrame | None) -> DataFrame:
     """Primary rows, and the rows of the fuzzy retry marked ``fuzzy``."""
-    return results.withColumn("fallback", F.lit(None).cast("string")).unionByName(
-        fuzzy.withColumn("fallback", F.lit("fuzzy")), allowMissingColumns=True
-    )
+    primary = results.withColumn("fallback", F.lit(None).cast("string"))
+    if retry is None:
+        return primary
+    return primary.unionByName(retry.withColumn("fallback", F.lit("fuzzy")))

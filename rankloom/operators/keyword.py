@@ -16,7 +16,7 @@ from rankloom.operators.postings import (
     term_statistics,
 )
 from rankloom.session import settled
-from rankloom.sizing import fits_broadcast
+from rankloom.sizing import broadcast_if_small, fits_broadcast
 
 K1 = 1.2
 B = 0.75
@@ -179,16 +179,10 @@ def freshness_boost(dates: DataFrame, as_of: Column, boost: float = 2.0, duratio
 
 
 def project_results(ranked: DataFrame, docs: DataFrame, id_col: str = "id") -> DataFrame:
-    """Result rows with what a caller shows: ``id, title, url`` and the scores."""
+    """Result rows with ``title`` and ``url`` of their document added.
+
+    ``ranked`` should be settled: it is measured first, and broadcast when small so
+    that the document table is read in place.
+    """
     shown = docs.select(F.col(id_col).alias("id"), "title", "url")
-    reranker = F.col("reranker_score") if "reranker_score" in ranked.columns else F.lit(None)
-    return ranked.join(shown, "id", "left").select(
-        "query_id",
-        "id",
-        "title",
-        "url",
-        "score",
-        reranker.cast("double").alias("reranker_score"),
-        F.lit(False).alias("curated"),
-        "rank",
-    )
+    return shown.join(broadcast_if_small(ranked), "id").withColumn("curated", F.lit(False))

@@ -134,26 +134,20 @@ def run_queries(
     found nothing.
     """
     mode = mode.lower()
-    rows = base_results(index, queries, mode, top, query_vectors, scorer)
     columns = ["query_id", "id", "score", "reranker_score", "rank"]
-    rows = rows.select(*columns)
+    rows = settled(base_results(index, queries, mode, top, query_vectors, scorer).select(*columns))
+    retry = None
     if mode in ("keyword", "semantic"):
-        # Read twice: by the retry to find the empty queries, and as result.
-        rows = settled(rows)
         empty = without_results(queries, rows)
         if not empty.isEmpty():
             words = vocabulary(index.docs, index.fields)
             retry = index.search(index.analysed(fuzzy_query_terms(empty, words)), top)
-            rows = with_fallback(
-                rows, retry.withColumn("reranker_score", F.lit(None).cast("double")).select(*columns)
+            retry = settled(
+                retry.withColumn("reranker_score", F.lit(None).cast("double")).select(*columns)
             )
-    if "fallback" not in rows.columns:
-        rows = rows.withColumn("fallback", F.lit(None).cast("string"))
-    shown = project_results(rows, index.docs).join(
-        rows.select("query_id", "id", "fallback"), ["query_id", "id"]
-    )
+    shown = project_results(with_fallback(rows, retry), index.docs)
     if bets is None:
-        return shown.withColumn("note", F.lit(None).cast("string")).where(F.col("rank") <= top)
+        return shown.withColumn("note", F.lit(None).cast("string"))
     return pin(shown, match_best_bets(queries, bets), top)
 
 
