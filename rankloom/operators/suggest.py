@@ -111,11 +111,9 @@ def autocomplete(
     order = W.partitionBy("context", "asked").orderBy("edits", F.col("df").desc(), "term")
     ranked = per_asked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     before = F.slice("words", F.lit(1), F.size("words") - 1)
-    return wanted.join(
-        ranked, (wanted["context"] == ranked["context"]) & (wanted["last"] == ranked["asked"])
-    ).select(
+    return wanted.withColumnRenamed("last", "asked").join(ranked, ["context", "asked"]).select(
         "prefix_id",
-        F.concat_ws(" ", F.nullif(wanted["context"], F.lit(NO_CONTEXT)), "term").alias("text"),
+        F.concat_ws(" ", F.nullif("context", F.lit(NO_CONTEXT)), "term").alias("text"),
         F.array_join(F.concat(before, F.array("term")), " ").alias("query_plus_text"),
         "rank",
     )
