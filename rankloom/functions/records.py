@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from rankloom.functions.text import _col, collapse_ends
+from rankloom.functions.text import _col, collapse_ends, split_list
 
 # Accepted source names per canonical field, best first (fixed values).
 FIELD_ALIASES = {
@@ -51,8 +51,7 @@ def first_present_value(record, names: Sequence[str]) -> Column:
 
 def split_tags(text) -> Column:
     """Tags out of one string: cut at comma, semicolon or pipe, trim, drop empties."""
-    parts = F.transform(F.split(_col(text), r"[,;|]"), lambda t: collapse_ends(t))
-    return F.coalesce(F.filter(parts, lambda t: t != ""), F.array().cast("array<string>"))
+    return F.coalesce(split_list(text, ",;|"), F.array().cast("array<string>"))
 
 
 def clean_tag_list(tags) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -9,9 +10,17 @@ from pyspark.sql import Column, functions as F, types as T
 
 WORD = r"[\p{L}\p{N}]+"
 
-# Whitespace as Python's str.split() sees it: the Unicode property plus the four
-# ASCII separators U+001C..U+001F.
-WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+# Whitespace as Python's str.split() sees it (fixed values), as the inside of a
+# character class and as plain characters.
+SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CHARACTERS = "".join(
+    chr(c)
+    for first, last in (
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+        (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    )
+    for c in range(first, last + 1)
+)
 
 # Inflection endings removed by the tuned analysis, per language (fixed values).
 STEM_SUFFIXES = {
@@ -35,8 +44,7 @@ def tokens(text) -> Column:
 
 def case_tokens(text) -> Column:
     """Whitespace-separated tokens with their case kept."""
-    cleaned = F.trim(collapse_whitespace(F.coalesce(_col(text), F.lit(""))))
-    return F.filter(F.split(cleaned, " "), lambda t: t != "")
+    return F.array_remove(F.split(collapse_whitespace(F.coalesce(_col(text), F.lit(""))), " "), "")
 
 
 def stem(term, language: str = "nl") -> Column:
@@ -47,7 +55,7 @@ def stem(term, language: str = "nl") -> Column:
 
 def collapse_whitespace(text) -> Column:
     """Every whitespace run becomes one space; the ends are trimmed."""
-    return F.trim(F.regexp_replace(_col(text), WHITESPACE, " "))
+    return F.trim(F.regexp_replace(_col(text), f"[{SPACE_CLASS}]+", " "))
 
 
 def blank_to_null(text) -> Column:
@@ -57,7 +65,7 @@ def blank_to_null(text) -> Column:
 
 def collapse_ends(text) -> Column:
     """Trim Unicode whitespace at both ends only."""
-    return F.regexp_replace(_col(text), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(_col(text), F.lit(SPACE_CHARACTERS))
 
 
 def _fold_text(text: str | None) -> str | None:
@@ -90,9 +98,8 @@ def lookup_keys(text) -> Column:
 
 def keys_of_normalised(spaced) -> Column:
     spaced = _col(spaced)
-    return F.filter(
-        F.array_distinct(F.array(spaced, F.replace(spaced, F.lit(" "), F.lit("")))),
-        lambda k: k != "",
+    return F.array_remove(
+        F.array_distinct(F.array(spaced, F.replace(spaced, F.lit(" "), F.lit("")))), ""
     )
 
 
@@ -122,11 +129,17 @@ def deletion_keys(term) -> Column:
     return F.array_distinct(F.concat(F.array(term), shorter))
 
 
+def split_list(text, delimiters: str) -> Column:
+    """Parts between any of the delimiter characters, trimmed, empties dropped."""
+    tight = F.regexp_replace(
+        collapse_ends(text), f"[{SPACE_CLASS}]*[{delimiters}][{SPACE_CLASS}]*", delimiters[0]
+    )
+    return F.array_remove(F.split(tight, re.escape(delimiters[0])), "")
+
+
 def split_terms(text) -> Column:
     """Comma-separated terms, trimmed, empties dropped."""
-    return F.filter(
-        F.transform(F.split(_col(text), ","), lambda t: collapse_ends(t)), lambda t: t != ""
-    )
+    return split_list(text, ",")
 
 
 def embedding_text(title, body) -> Column:

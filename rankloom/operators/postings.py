@@ -96,17 +96,14 @@ def vocabulary(docs: DataFrame, fields, id_col: str = "id", term_of=None) -> Dat
     Terms are made distinct per document before counting, so a term in a third of
     all documents adds one row per map task.
     """
-    columns = [F.array_distinct(tokens(v)) for v in fields.values()]
-    distinct = F.array_distinct(F.concat(*columns)) if len(columns) > 1 else columns[0]
-    terms = docs.select(F.explode(distinct).alias("term"))
+    words = F.concat(*[tokens(v) for v in fields.values()])
     if term_of is not None:
-        # Two tokens of one document may share a stem; count the document once.
-        terms = (
-            docs.select(
-                F.explode(F.array_distinct(F.transform(distinct, term_of))).alias("term")
-            )
-        )
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        words = F.transform(words, term_of)
+    # explode_outer for the reason given above.
+    terms = docs.select(F.explode_outer(F.array_distinct(words)).alias("term"))
+    return (
+        terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    )
 
 
 def corpus_totals(docs: DataFrame, fields) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rankloom.functions.text import tokens
 
@@ -15,9 +15,11 @@ def trigger_overlaps(rules: DataFrame) -> DataFrame:
     Triggers are compared in lower case; repeats on one line do not count and the
     right-hand side is exempt.
     """
-    triggers = rules.select(
-        "file", F.explode("left").alias("term"), "line_no"
-    ).select("file", F.lower("term").alias("term"), "line_no").distinct()
+    triggers = (
+        rules.select("file", F.explode_outer("left").alias("term"), "line_no")
+        .select("file", F.lower("term").alias("term"), "line_no")
+        .distinct()
+    )
     repeated = (
         triggers.groupBy("file", "term")
         .agg(F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"))
@@ -27,29 +29,37 @@ def trigger_overlaps(rules: DataFrame) -> DataFrame:
     return triggers.join(repeated, ["file", "term"], "left_semi")
 
 
+def _rule_checks(max_cluster: int) -> dict[str, tuple[str, Column]]:
+    """Name of each check on a single rule, with its severity and condition."""
+    left, right = F.size("left"), F.size("right")
+    directional = F.col("kind") == "directional"
+    return {
+        "empty side": ("error", directional & ((left == 0) | (right == 0))),
+        "single term": ("error", ~directional & (left <= 1)),
+        "over-broad": ("warning", left > max_cluster),
+    }
+
+
 def rule_violations(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFrame:
     """``file, line_no, severity, problem, term`` of all findings.
 
     A malformed rule is reported and still takes part in the other checks.
     """
-    left, right = F.size("left"), F.size("right")
-    directional = F.col("kind") == "directional"
-    none = F.lit(None).cast("string").alias("term")
-
-    def found(condition, severity, problem):
-        return rules.where(condition).select(
-            "file", "line_no", F.lit(severity).alias("severity"), F.lit(problem).alias("problem"), none
+    findings = F.array_compact(
+        F.array(
+            *[
+                F.when(hit, F.struct(F.lit(severity).alias("severity"), F.lit(problem).alias("problem")))
+                for problem, (severity, hit) in _rule_checks(max_cluster).items()
+            ]
         )
-
+    )
+    single = rules.select(
+        "file", "line_no", F.inline(findings), F.lit(None).cast("string").alias("term")
+    )
     overlaps = trigger_overlaps(rules).select(
         "file", "line_no", F.lit("error").alias("severity"), F.lit("shared trigger").alias("problem"), "term"
     )
-    return (
-        found(directional & ((left == 0) | (right == 0)), "error", "empty side")
-        .unionByName(found(~directional & (left <= 1), "error", "single term"))
-        .unionByName(found(left > max_cluster, "warning", "over-broad"))
-        .unionByName(overlaps)
-    )
+    return single.unionByName(overlaps)
 
 
 def rule_statistics(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFrame:
@@ -57,30 +67,43 @@ def rule_statistics(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFra
 
     A trigger shared by several lines is one error.
     """
-    kinds = rules.groupBy("file").agg(
+
+    def problems(kind):
+        counts = [
+            F.count_if(hit) for severity, hit in _rule_checks(max_cluster).values() if severity == kind
+        ]
+        return sum(counts[1:], counts[0])
+
+    per_rule = rules.groupBy("file").agg(
         F.count(F.lit(1)).alias("total_rules"),
         F.count_if(F.col("kind") == "equivalency").alias("equivalency_rules"),
         F.count_if(F.col("kind") == "directional").alias("directional_rules"),
+        problems("warning").alias("warnings"),
+        problems("error").alias("rule_errors"),
     )
+    sides = [
+        F.transform(side, lambda t: F.struct(F.lower(t).alias("term"), line.alias("line")))
+        for side, line in (("left", F.col("line_no")), ("right", F.lit(None).cast("int")))
+    ]
     terms = (
-        rules.select("file", F.explode(F.concat("left", "right")).alias("term"))
-        .select("file", F.lower("term").alias("term"))
-        .distinct()
-        .groupBy("file")
-        .agg(F.count(F.lit(1)).alias("unique_terms"))
-    )
-    problems = (
-        rule_violations(rules, max_cluster)
-        .select("file", "severity", "problem", "term", F.when(F.col("term").isNull(), F.col("line_no")).alias("line"))
-        .distinct()
+        rules.select("file", F.inline_outer(F.concat(*sides)))
+        .groupBy("file", "term")
+        .agg(F.min("line").alias("first_line"), F.max("line").alias("last_line"))
         .groupBy("file")
         .agg(
-            F.count_if(F.col("severity") == "warning").alias("warnings"),
-            F.count_if(F.col("severity") == "error").alias("errors"),
+            F.count("term").alias("unique_terms"),
+            F.count_if(F.col("term").isNotNull() & (F.col("first_line") < F.col("last_line"))).alias("shared"),
         )
     )
-    zero = {"unique_terms": 0, "warnings": 0, "errors": 0}
-    return kinds.join(terms, "file", "left").join(problems, "file", "left").na.fill(zero)
+    return per_rule.join(terms, "file").select(
+        "file",
+        "total_rules",
+        "equivalency_rules",
+        "directional_rules",
+        "unique_terms",
+        "warnings",
+        (F.col("rule_errors") + F.col("shared")).alias("errors"),
+    )
 
 
 def rule_phrases(rules: DataFrame) -> DataFrame:
@@ -92,9 +115,7 @@ def rule_phrases(rules: DataFrame) -> DataFrame:
     rules = rules.withColumn("rule", F.struct("file", "line_no"))
 
     def phrases(side):
-        return F.filter(
-            F.transform(side, lambda t: F.array_join(tokens(t), " ")), lambda p: p != ""
-        )
+        return F.array_remove(F.transform(side, lambda t: F.array_join(tokens(t), " ")), "")
 
     directional = F.col("kind") == "directional"
     sided = rules.select(
@@ -108,7 +129,7 @@ def rule_phrases(rules: DataFrame) -> DataFrame:
         "kind",
         "phrase",
         F.size(F.split("phrase", " ")).alias("n"),
-        F.filter("right", lambda p: p != F.col("phrase")).alias("added"),
+        F.array_remove("right", F.col("phrase")).alias("added"),
     )
 
 

@@ -17,6 +17,7 @@ from rankloom.operators.postings import document_postings, term_statistics, voca
 from rankloom.operators.rerank import rerank, term_coverage
 from rankloom.operators.synonyms import expand_queries, rule_statistics, rule_violations
 from rankloom.plans.search import Index, run_queries
+from rankloom.session import settled
 from rankloom.sources.profiles import DEFAULT_PROFILE
 from rankloom.sources.synonym_files import parse_rules
 from rankloom.workload.tables import (
@@ -174,7 +175,7 @@ COMPOUNDS_SQL = f"WITH {VOCABULARY_SQL}, {_CUTS_SQL} SELECT term, part FROM part
 
 def decompounded_topk(spark, sf_dir):
     """Page titles searched with compound words also listed under their parts."""
-    docs = page_documents(spark, sf_dir).select("id", "title")
+    docs = settled(page_documents(spark, sf_dir).select("id", "title"))
     fields = {"title": "title"}
     parts = compound_parts(vocabulary(docs, fields))
     postings = posting_parts(document_postings(docs, fields), parts)
@@ -469,7 +470,8 @@ def _misspelt(spark, sf_dir):
 
 def fuzzy_fallback(spark, sf_dir):
     """Misspelt passages over the pages: base search, then the fuzzy retry."""
-    docs = page_documents(spark, sf_dir)
+    # Read by several passes, as a loaded document table would be.
+    docs = settled(page_documents(spark, sf_dir))
     index = Index(docs, {"title": "title", "body": "body"})
     return run_queries(index, _misspelt(spark, sf_dir), "keyword", 10).select(
         "query_id", "id", "url", "score", "fallback", F.col("rank").cast("long").alias("rank")

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rankloom.functions.markup import element_text, strip_html
 from rankloom.session import prepare
+from rankloom.sizing import spread_small
 
 AS_OF = "2024-06-30 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small(prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def as_of():
