@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -10,7 +10,7 @@ from rankloom.functions.dates import age_days
 from rankloom.functions.text import tokens
 from rankloom.operators.postings import (
     WHOLE,
-    document_postings,
+    document_statistics,
     document_terms,
     restrict_terms,
     term_statistics,
@@ -57,7 +57,7 @@ def weighted_query_terms(
     boost = F.lit(None).cast("double")
     for name, value in weights.items():
         boost = F.when(F.col("field") == name, F.lit(float(value))).otherwise(boost)
-    return terms.join(per_term, "term").select(
+    return terms.join(broadcast_if_small(per_term), "term").select(
         "query_id",
         "field",
         "term",
@@ -110,26 +110,24 @@ def keyword_search(
     id_col: str = "id",
     term_of=None,
     placed: bool = False,
-    adjust=None,
+    adjust: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Best documents per query: ``query_id, id, score, coverage, rank``.
 
-    ``terms`` is the output of :func:`query_terms` or an expansion of it.
-    ``adjust`` maps the scored pairs to scored pairs, for example to add the
-    freshness boost. ``top=None`` returns all scored pairs without a rank.
+    ``terms`` is the output of :func:`query_terms` or an expansion of it. ``adjust``
+    maps the scored pairs to scored pairs, for example to favour fresh documents.
+    ``top=None`` returns all scored pairs without a rank.
     """
-    weights = weights or {name: 1.0 for name in fields}
     small = fits_broadcast(terms)
-    wanted = terms.select("term").distinct().union(
-        terms.sparkSession.createDataFrame([(WHOLE,)], "term string")
-    )
-    occurrences = document_terms(docs, fields, id_col, term_of, placed)
+    wanted = _asked_words(terms) if small else None
+    statistics = document_statistics(docs, fields, wanted, term_of)
     postings = (
-        restrict_terms(occurrences, F.broadcast(wanted) if small else wanted)
+        restrict_terms(document_terms(docs, fields, id_col, term_of, placed), wanted)
         .groupBy("id", "field", "len", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    return search_postings(postings, terms, top, weights, adjust, small)
+    weights = weights or {name: 1.0 for name in fields}
+    return _search(postings, terms, statistics, top, weights, adjust, small)
 
 
 def search_postings(
@@ -137,13 +135,24 @@ def search_postings(
     terms: DataFrame,
     top: int | None = 10,
     weights: Mapping[str, float] | None = None,
-    adjust=None,
+    adjust: Callable[[DataFrame], DataFrame] | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """:func:`keyword_search` over postings that exist already."""
     small = fits_broadcast(terms) if small is None else small
-    # Without the checkpoint each use of the statistics would tokenise again.
-    weighted = weighted_query_terms(terms, settled(term_statistics(postings)), weights)
+    postings = restrict_terms(postings, _asked_words(terms) if small else None)
+    return _search(postings, terms, term_statistics(postings), top, weights, adjust, small)
+
+
+def _asked_words(terms: DataFrame) -> DataFrame:
+    """The words of a small query table and the empty term, to broadcast."""
+    whole = terms.select(F.lit(WHOLE).alias("term")).limit(1)
+    return F.broadcast(terms.select("term").distinct().union(whole))
+
+
+def _search(postings, terms, statistics, top, weights, adjust, small) -> DataFrame:
+    # Settled, because each use would read the documents again.
+    weighted = weighted_query_terms(terms, settled(statistics), weights)
     scored = score_pairs(postings, weighted, small)
     if adjust is not None:
         scored = adjust(scored)
@@ -160,14 +169,16 @@ def freshness_factor(modified, as_of: Column, boost: float = 2.0, duration_days:
     return 1 + (boost - 1) * (1 - share * share)
 
 
-def freshness_boost(dates: DataFrame, as_of: Column, boost: float = 2.0, duration_days: int = 365):
-    """An ``adjust`` step for :func:`keyword_search` over ``dates(id, lastModified)``.
+def freshness_boost(
+    dates: DataFrame, as_of: Column, boost: float = 2.0, duration_days: int = 365
+) -> Callable[[DataFrame], DataFrame]:
+    """The freshness factor over ``dates(id, lastModified)`` as a step of a search.
 
     Documents without a date keep their score.
     """
     factor = freshness_factor(F.col("lastModified"), as_of, boost, duration_days)
 
-    def adjust(scored: DataFrame) -> DataFrame:
+    def apply(scored: DataFrame) -> DataFrame:
         factors = dates.select("id", factor.alias("factor"))
         return (
             scored.join(factors, "id", "left")
@@ -175,7 +186,7 @@ def freshness_boost(dates: DataFrame, as_of: Column, boost: float = 2.0, duratio
             .drop("factor")
         )
 
-    return adjust
+    return apply
 
 
 def project_results(ranked: DataFrame, docs: DataFrame, id_col: str = "id") -> DataFrame:

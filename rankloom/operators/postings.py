@@ -75,12 +75,13 @@ def document_terms(docs, fields, id_col="id", term_of=None, placed=False) -> Dat
     return terms
 
 
-def restrict_terms(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Only rows of the given terms and the empty term.
+def restrict_terms(terms: DataFrame, vocabulary: DataFrame | None) -> DataFrame:
+    """Only rows of the given terms; all rows where no vocabulary is given.
 
-    ``vocabulary(term)`` keeps its broadcast hint when it has one.
+    ``vocabulary(term)`` carries a broadcast hint. One too large for that is better
+    left out: shuffling by term would send a frequent term to one task.
     """
-    return terms.join(vocabulary, "term", "left_semi")
+    return terms if vocabulary is None else terms.join(vocabulary, "term", "left_semi")
 
 
 def term_statistics(postings: DataFrame) -> DataFrame:
@@ -90,6 +91,33 @@ def term_statistics(postings: DataFrame) -> DataFrame:
     )
 
 
+def document_statistics(docs, fields, wanted: DataFrame | None, term_of=None) -> DataFrame:
+    """:func:`term_statistics` of the ``wanted`` terms straight from the documents.
+
+    A document's terms are made distinct in its row, so the texts are not shuffled
+    and a frequent term adds one row per map task.
+    """
+
+    def distinct_terms(text):
+        words = tokens(text)
+        if term_of is not None:
+            words = F.transform(words, term_of)
+        return F.array_distinct(F.concat(words, F.array(F.lit(WHOLE))))
+
+    per_field = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("field"), F.size(tokens(text)).alias("len"), distinct_terms(text).alias("terms")
+            )
+            for name, text in fields.items()
+        ]
+    )
+    terms = docs.select(F.inline_outer(per_field)).select(
+        "field", "len", F.explode_outer("terms").alias("term")
+    )
+    return term_statistics(restrict_terms(terms, wanted))
+
+
 def vocabulary(docs: DataFrame, fields, id_col: str = "id", term_of=None) -> DataFrame:
     """Distinct terms with the number of documents that hold them: ``term, df``.
 

@@ -8,6 +8,7 @@ from rankloom.operators.keyword import keyword_search, query_terms
 from rankloom.operators.metrics import config_metrics, grade_map, lift, query_metrics, representative
 from rankloom.operators.rerank import rerank, term_coverage
 from rankloom.session import settled
+from rankloom.sizing import broadcast_if_small
 from rankloom.sources.sinks import detail_rows, summary_rows
 from rankloom.workload.tables import PASSAGE_TERMS_SQL, bm25_sql, passages, ranked_sql, table
 
@@ -32,7 +33,7 @@ def _judgments(spark, sf_dir):
     passages_ = _sentences(table(spark, sf_dir, "benchmark"), "item_id")
     docs = _sentences(table(spark, sf_dir, "documents"), "doc_id")
     toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id", F.lit(1).alias("toxic"))
-    shared = docs.join(passages_, "sentence").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    shared = docs.join(broadcast_if_small(passages_), "sentence").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     number = F.col("doc_id").cast("string")
     return shared.join(toxic, "doc_id", "left").select(
         F.col("item_id").cast("string").alias("query"),

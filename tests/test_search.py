@@ -97,6 +97,16 @@ def test_large_query_tables_score_the_same(spark, corpus):
     assert rows(small) == rows(large)
 
 
+def test_search_without_broadcasts(spark, monkeypatch, corpus):
+    """With a bound of no rows nothing is broadcast by hint; the result is the same."""
+    docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
+    rows = lambda df: sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in df.collect())
+    expected = rows(keyword_search(docs, terms, {"body": "body"}, 10))
+    monkeypatch.setattr(keyword, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(keyword, "broadcast_if_small", lambda df: df)
+    assert rows(keyword_search(docs, terms, {"body": "body"}, 10)) == expected
+
+
 def test_no_shuffle_between_document_and_pair_sums(spark, corpus):
     docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
     postings = document_postings(docs, {"body": "body"})
