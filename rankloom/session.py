@@ -1,8 +1,9 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,26 +27,38 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the cluster names none (a local test session) a fresh temporary
-    folder is chosen and set as the checkpoint folder.
+    ``spark.checkpoint.dir`` or the checkpoint folder of the context; a session
+    that names neither keeps its intermediate tables below its warehouse, which
+    is shared by definition.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rankloom-"))
-    return (named or context.getCheckpointDir()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_rankloom").rstrip("/")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder; never reused, removed when Python ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-    For small intermediate results that several later passes read: an executor
-    that is lost takes nothing with it.
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` computed once, written as Parquet to the shared folder and read back.
+
+    For intermediate results that several later passes read: an executor that
+    is lost takes nothing with it, and later passes read only their columns.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; never reused between runs."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def settled(df: DataFrame) -> DataFrame:
+    """A small result computed once for several later passes."""
+    return stored(df, "settled")
