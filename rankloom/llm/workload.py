@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankloom.llm import lines, quality, sharding, warc
+from rankloom.llm import containment, lines, parity, quality, sharding, warc
 from rankloom.session import prepare, scratch_path
 
 QUERIES: dict = {}
@@ -127,3 +127,49 @@ judged AS (SELECT *, ({_RULES_SQL})::BIGINT AS fail_bits FROM ledger)
 SELECT *, fail_bits & {quality.POLICIES['base'].bits} <> 0 AS base_failed,
        fail_bits & {quality.POLICIES[quality.CURRENT].bits} = 0 AS kept
 FROM judged"""
+
+
+def _shingle_sets_sql(name: str, source: str, id_col: str) -> str:
+    """CTE ``name(id, s)``: the distinct five-word shingles of each row of ``source``."""
+    return f"""
+{name}_words AS (SELECT {id_col} AS id, {_words_sql(_LOWER_SQL.format('text'))} AS w FROM {source}),
+{name} AS (
+    SELECT id, CASE WHEN len(w) >= 5
+        THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+    FROM {name}_words
+)"""
+
+
+@_query
+def op7_benchmark_containment(spark, sf_dir):
+    found = containment.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared")
+
+
+ORACLE["op7_benchmark_containment"] = f"""
+WITH {_shingle_sets_sql('d', 'documents', 'doc_id')},
+{_shingle_sets_sql('b', 'benchmark', 'item_id')},
+items AS (SELECT id AS item_id, len(s) AS n_item, unnest(s) AS h FROM b),
+held AS (SELECT id AS doc_id, unnest(s) AS h FROM d)
+SELECT doc_id, item_id, n_item, count(*) AS n_shared FROM held JOIN items USING (h)
+GROUP BY ALL HAVING count(*) * 100 >= n_item * {containment.PERCENT}"""
+
+
+@_query
+def op8_parity_jaccard(spark, sf_dir):
+    return parity.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_parity_jaccard"] = f"""
+WITH RECURSIVE {_shingle_sets_sql('d', 'documents', 'doc_id')},
+held AS (SELECT id, len(s) AS n, unnest(s) AS h FROM d),
+links AS (
+    SELECT x.id AS a, y.id AS b FROM held x JOIN held y ON x.h = y.h AND x.id <> y.id
+    GROUP BY x.id, y.id, x.n, y.n HAVING count(*) * 100 >= (x.n + y.n - count(*)) * {parity.PERCENT}
+),
+reach AS (SELECT id AS a, id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT id AS doc_id, len(s) AS n_shingles, component_id,
+       CASE WHEN len(s) = 0 THEN id ELSE min(id) OVER (PARTITION BY s) END AS class_id
+FROM d JOIN lowest ON id = a"""
