@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankloom.llm import containment, lines, parity, quality, sharding, warc
+from rankloom.llm import containment, lines, mixing, parity, quality, secrets, sharding, urls, warc
 from rankloom.session import prepare, scratch_path
 
 QUERIES: dict = {}
@@ -173,3 +173,26 @@ lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT id AS doc_id, len(s) AS n_shingles, component_id,
        CASE WHEN len(s) = 0 THEN id ELSE min(id) OVER (PARTITION BY s) END AS class_id
 FROM d JOIN lowest ON id = a"""
+
+
+@_query
+def op2_soft_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
+@_query
+def op4_url_models(spark, sf_dir):
+    return urls.judged_urls(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op10_secret_models(spark, sf_dir):
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    base = secrets.span_list(F.col("base"))
+    return found.select(
+        "doc_id",
+        *(secrets.kind_count(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.span_list(F.array_sort(F.concat("base", "markov"))).alias("spans"),
+        F.size("markov").cast("long").alias("n_markov"),
+    )
