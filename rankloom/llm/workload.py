@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankloom.llm import containment, lines, mixing, parity, quality, secrets, sharding, urls, warc
+from rankloom.llm import containment, lines, mixing, parity, quality, secrets, sharding, suffixes, urls, warc
 from rankloom.session import prepare, scratch_path
 
 QUERIES: dict = {}
@@ -196,3 +196,35 @@ def op10_secret_models(spark, sf_dir):
         secrets.span_list(F.array_sort(F.concat("base", "markov"))).alias("spans"),
         F.size("markov").cast("long").alias("n_markov"),
     )
+
+
+@_query
+def op9_suffix_repeats(spark, sf_dir):
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+ORACLE["op9_suffix_repeats"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (
+    SELECT doc_id, p, md5(substr(x, 2 * p + 1, 100)) AS s
+    FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS p FROM d)
+),
+later AS (SELECT doc_id, p FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY s)),
+stretches AS (
+    SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -100) + 50 AS fresh FROM later
+),
+numbered AS (
+    SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM stretches
+),
+spans AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM numbered GROUP BY ALL),
+gaps AS (
+    SELECT doc_id, k, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+),
+cut AS (
+    SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+           string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(max(x), 2 * max(b) + 1) AS kept
+    FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
