@@ -31,6 +31,8 @@ MISS = 1e-8
 SKETCH_WORDS = 8
 # Buckets up to this size compare all pairs at once, larger ones by way of one member first.
 SMALL_BUCKET = 4
+# Members of a block when what is left of a large bucket is compared.
+BLOCK = 1000
 
 
 def band_floor(band: int) -> int:
@@ -253,9 +255,69 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(small).filter(distance <= allowed).select("a", "b", "n_a", "n_b")
 
 
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Plausible pairs across components within every cell ``(key, x, y)`` of sorted rows.
+
+    A cell holds two blocks of a bucket's members, or one; sketches are compared as bit
+    matrices and only pairs that sizes and bits allow leave the task.
+    """
+    held = None
+
+    def pairs(columns):
+        node, label, size, own, bits = columns[3:]
+        n = len(node)
+        different = np.zeros((n, n), dtype=np.int32)
+        for word in bits.T:
+            different += np.bitwise_count(word[:, None] ^ word[None, :])
+        total = size[:, None] + size[None, :]
+        fits = different * (100 + PERCENT) <= total * (100 - PERCENT)
+        fits &= 100 * np.minimum(size[:, None], size[None, :]) >= PERCENT * np.maximum(size[:, None], size[None, :])
+        fits &= label[:, None] != label[None, :]
+        fits &= node[:, None] < node[None, :]
+        if columns[1][0] != columns[2][0]:
+            fits &= own[:, None] != own[None, :]
+        a, b = np.nonzero(fits)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (node[a], node[b], size[a], size[b])], names=["a", "b", "n_a", "n_b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
+        columns.append(batch.column(7).flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS))
+        if held is not None:
+            columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+        fresh = np.zeros(len(columns[0]), dtype=bool)
+        for cell in columns[:3]:
+            fresh[1:] |= cell[1:] != cell[:-1]
+        begins = [0, *np.flatnonzero(fresh)]
+        for begin, end in zip(begins, begins[1:]):
+            yield pairs([c[begin:end] for c in columns])
+        held = [c[begins[-1] :] for c in columns]
+    if held is not None:
+        yield pairs(held)
+
+
+def _across(labelled: DataFrame, classes: DataFrame) -> DataFrame:
+    """Plausible pairs of members of one bucket that are in different components.
+
+    The members of a bucket are dealt into blocks of about ``BLOCK``, and every two
+    blocks are compared in a cell of their own.
+    """
+    held = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
+    rest = labelled.join(stored(held.filter("lo <> hi").select("key", "members"), "mixed"), "key")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = rest.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cells = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "label", "own")
+    rows = cells.join(classes.select("node", "n_shingles", "sketch"), "node").dropDuplicates(["key", "x", "y", "node"])
+    rows = rows.select("key", "x", "y", "node", "label", "n_shingles", "own", "sketch")
+    sorted_rows = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return sorted_rows.mapInArrow(_block_pairs, "a long, b long, n_a long, n_b long").distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b`` of the pairs whose exact Jaccard similarity reaches the threshold."""
-    pairs = stored(_plausible(pairs, classes), "pairs")
+    """``a, b`` of the plausible pairs whose exact Jaccard similarity reaches the threshold."""
+    pairs = stored(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.join(classes.select("node", "doc_id", "f1", "f2"), "node")
     texts = docs.join(wanted.select("doc_id").distinct(), "doc_id").select("doc_id", "text")
@@ -323,15 +385,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ends = buckets.filter(F.col("kind") == _KIND_EDGE).select("key", "a").distinct()
     crossing = ends.groupBy("key").agg(F.array_sort(F.collect_set("a")).alias("s")).filter(F.size("s") > 1)
     crossing = crossing.select(F.col("s")[0].alias("a"), F.explode("s").alias("b"))
-    links = _verified(_ordered(pairs.unionByName(crossing)), narrow, classes).unionByName(_same_ids(nonempty, named))
+    first_pairs = _plausible(_ordered(pairs.unionByName(crossing)), classes)
+    links = _verified(first_pairs, narrow, classes).unionByName(_same_ids(nonempty, named))
     labels = stored(connected_components(links), "labels")
 
     opened = buckets.filter(F.col("kind") == _KIND_OPEN).select("key", F.col("a").alias("node")).distinct()
     labelled = opened.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
-    mixed_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    rest = stored(labelled.join(mixed_keys.select("key"), "key"), "mixed")
-    across = rest.alias("x").join(rest.alias("y"), "key").filter("x.label < y.label")
-    more = _verified(_ordered(across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))), narrow, classes)
+    more = _verified(_across(stored(labelled, "open"), classes), narrow, classes)
     component = connected_components(links.unionByName(more).distinct())
 
     of_class = named.join(component, "node", "left").select("f1", "f2", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"))
