@@ -100,7 +100,9 @@ def labelled_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     df = with_base_spans(docs.select(F.col(text_col).alias("text")))
     assigned = F.filter(F.transform("_assign", lambda s: s["value"]), lambda v: v.rlike("[0-9]"))
     sure = F.concat(assigned, F.transform("_access", lambda s: s["value"]), F.transform("_hex", lambda s: s["value"]))
-    ordinary = F.regexp_extract_all("_text", F.lit(IDENTIFIER), F.lit(0))
+    any_base = rf"{ASSIGN}|{ACCESS}|[0-9a-f]{{{MIN_HEX},}}"
+    outside = F.when(F.size(sure) > 0, F.regexp_replace("_text", any_base, " ")).otherwise(F.col("_text"))
+    ordinary = F.regexp_extract_all(outside, F.lit(IDENTIFIER), F.lit(0))
     label = lambda n: lambda t: F.struct(t.alias("token"), F.lit(n).alias("random"))
     both = df.select(F.explode(F.concat(F.transform(sure, label(1)), F.transform(ordinary, label(0)))).alias("t"))
     return both.select("t.token", "t.random").groupBy("token").agg(F.max("random").alias("random"))
