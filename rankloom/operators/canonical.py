@@ -55,7 +55,16 @@ def canonicalise(records: DataFrame, as_of: Column, aliases=FIELD_ALIASES) -> Da
         collapse_ends(F.coalesce(text["url"], F.lit(""))).alias("url"),
         content_type(text["contentType"]).alias("contentType"),
         normalise_tags(first_present_value(record, aliases["tags"])).alias("tags"),
-        normalise_modified(text["lastModified"], as_of).alias("lastModified"),
+        _modified(first_present_value(record, aliases["lastModified"]), text["lastModified"], as_of).alias("lastModified"),
+    )
+
+
+def _modified(value: Column, text: Column, as_of: Column) -> Column:
+    """Text is read as a date; zero and false are missing; other values stay as their text."""
+    missing = text.isin("0", "false") | (F.try_variant_get(value, "$", "double") == 0)
+    other = F.schema_of_variant(value) != "STRING"
+    return F.when(other & ~F.coalesce(missing, F.lit(False)), text).otherwise(
+        normalise_modified(F.when(~other, text), as_of)
     )
 
 

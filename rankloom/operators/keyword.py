@@ -160,23 +160,36 @@ def _search(postings, terms, statistics, top, weights, adjust, small) -> DataFra
     return scored if top is None else top_k(scored, top)
 
 
-def freshness_factor(modified, as_of: Column, boost: float = 2.0, duration_days: int = 365) -> Column:
+# How much of the extra boost is left after a share of the duration, by interpolation.
+INTERPOLATIONS = {
+    "constant": lambda share: F.when(share < 1, F.lit(1.0)).otherwise(F.lit(0.0)),
+    "linear": lambda share: 1 - share,
+    "quadratic": lambda share: 1 - share * share,
+    "logarithmic": lambda share: 1 - F.log2(1 + share),
+}
+
+
+def freshness_factor(
+    modified, as_of: Column, boost: float = 2.0, duration_days: int = 365, interpolation: str = "quadratic"
+) -> Column:
     """``boost`` for a document of today, falling to one at ``duration_days``.
 
-    The fall is quadratic; dates ahead of ``as_of`` count as today.
+    ``interpolation`` names the form of the fall; dates ahead of ``as_of`` count as today.
     """
+    if interpolation not in INTERPOLATIONS:
+        raise ValueError(f"no interpolation named {interpolation!r}; there are {', '.join(INTERPOLATIONS)}")
     share = F.least(F.greatest(age_days(modified, as_of) / duration_days, F.lit(0.0)), F.lit(1.0))
-    return 1 + (boost - 1) * (1 - share * share)
+    return 1 + (boost - 1) * INTERPOLATIONS[interpolation](share)
 
 
 def freshness_boost(
-    dates: DataFrame, as_of: Column, boost: float = 2.0, duration_days: int = 365
+    dates: DataFrame, as_of: Column, boost: float = 2.0, duration_days: int = 365, interpolation: str = "quadratic"
 ) -> Callable[[DataFrame], DataFrame]:
     """The freshness factor over ``dates(id, lastModified)`` as a step of a search.
 
     Documents without a date keep their score.
     """
-    factor = freshness_factor(F.col("lastModified"), as_of, boost, duration_days)
+    factor = freshness_factor(F.col("lastModified"), as_of, boost, duration_days, interpolation)
 
     def apply(scored: DataFrame) -> DataFrame:
         factors = dates.select("id", factor.alias("factor"))

@@ -41,7 +41,7 @@ def _rule_checks(max_cluster: int) -> dict[str, tuple[str, Column]]:
 
 
 def rule_violations(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFrame:
-    """``file, line_no, severity, problem, term`` of all findings.
+    """``file, line_no, severity, problem, term`` of all findings, sorted by term, those without one last.
 
     A malformed rule is reported and still takes part in the other checks.
     """
@@ -59,7 +59,8 @@ def rule_violations(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFra
     overlaps = trigger_overlaps(rules).select(
         "file", "line_no", F.lit("error").alias("severity"), F.lit("shared trigger").alias("problem"), "term"
     )
-    return single.unionByName(overlaps)
+    found = single.unionByName(overlaps)
+    return found.orderBy(F.col("term").asc_nulls_last(), "file", "line_no", "problem")
 
 
 def rule_statistics(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFrame:

@@ -50,6 +50,13 @@ class Index:
     as_of: Column | None = None
     vectors: DataFrame | None = None
 
+    @property
+    def modes(self) -> tuple[str, ...]:
+        """The modes worth comparing: reranking needs some tuning, fusion needs vectors."""
+        tuned = any(part is not None for part in (self.language, self.rules, self.parts, self.profile))
+        able = {"keyword": True, "semantic": tuned, "hybrid": tuned and self.vectors is not None}
+        return tuple(mode for mode, possible in able.items() if possible)
+
     @property
     def term_of(self) -> Callable[[Column], Column] | None:
         return (lambda t: stem(t, self.language)) if self.language else None
@@ -80,9 +87,11 @@ class Index:
         if self.profile is not None:
             weights |= {k: v for k, v in self.profile.weights.items() if k in weights}
             fresh = self.profile.freshness
-            if fresh is not None and self.as_of is not None:
+            if fresh is not None and self.as_of is None:
+                raise ValueError("a profile with freshness needs as_of")
+            if fresh is not None:
                 dates = self.docs.select("id", F.col(fresh.field).alias("lastModified"))
-                adjust = freshness_boost(dates, self.as_of, fresh.boost, fresh.duration_days)
+                adjust = freshness_boost(dates, self.as_of, fresh.boost, fresh.duration_days, fresh.interpolation)
         return keyword_search(
             self.docs, terms, self.fields, top, weights, term_of=self.term_of, adjust=adjust
         )
@@ -115,7 +124,7 @@ def base_results(
         return rerank(fused.join(coverage, ["query_id", "id"], "left"), scorer).where(
             F.col("rank") <= top
         )
-    raise ValueError(f"unknown mode {mode!r}: expected keyword, semantic or hybrid")
+    raise ValueError(f"queries run as keyword, semantic or hybrid, not as {mode!r}")
 
 
 def run_queries(

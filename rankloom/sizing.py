@@ -34,12 +34,3 @@ def broadcast_if_small(
 ) -> DataFrame:
     """Hint a broadcast when the measurement allows it, else leave it to Catalyst."""
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that comes in fewer splits than there are cores.
-
-    Large tables have more splits and are left alone, so nothing big is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 DELIVERY_ITEM = T.StructType(
     [
@@ -26,15 +26,23 @@ def parse_content(texts: DataFrame, text: str = "value", file: str = "file") ->
     """Records of JSON texts as ``file, pos, record`` with ``record`` a variant.
 
     A text is an array of records, an object whose ``value`` is an array of
-    records, or one record. Every record becomes a variant of its own, so the
-    variant size limit applies per record and not per file. Malformed text fails
-    the job.
+    records, one record, or a record per line. Every record becomes a variant of
+    its own, so the variant size limit applies per record and not per file.
+    Malformed text, and anything that follows a whole value, fails the job.
     """
     value = F.col(text)
-    bare = value.rlike(r"^\s*\[")
-    wrapped = F.from_json(value, "struct<value array<variant>>")["value"]
-    records = F.when(bare, F.from_json(value, "array<variant>")).otherwise(
-        F.coalesce(wrapped, F.array(F.parse_json(F.when(~bare, value))))
+
+    def only(schema: str) -> Column:
+        """The text as the single element of an array; null when more or less follows."""
+        read = F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"array<{schema}>")
+        return F.when(F.size(read) == 1, read[0])
+
+    lines = F.filter(F.split(value, r"\r?\n"), lambda line: line.rlike(r"\S"))
+    by_line = F.from_json(F.concat(F.lit("["), F.array_join(lines, ","), F.lit("]")), "array<variant>")
+    each = F.when((F.size(by_line) == F.size(lines)) & F.forall(lines, lambda line: line.rlike(r"^\s*\{")), by_line)
+    one = only("variant")
+    records = F.when(value.rlike(r"^\s*\["), only("array<variant>")).otherwise(
+        F.coalesce(only("struct<value array<variant>>")["value"], F.when(one.isNotNull(), F.array(one)), each)
     )
     parsed = F.coalesce(records, F.raise_error(F.concat(F.lit("malformed JSON in "), F.col(file))))
     return texts.select(F.col(file).alias("file"), F.posexplode(parsed).alias("pos", "record"))

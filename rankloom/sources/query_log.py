@@ -61,20 +61,21 @@ def log_rows(
     """One log record per query of ``queries(query_id, query[, curated, fallback])``.
 
     ``results`` are final rows, so ``num_results`` counts them after pinning and
-    capping. The ids are the first ``top_ids`` by rank.
+    capping. The ids are the first ``top_ids`` usable ones by rank.
     """
     per_query = results.groupBy("query_id").agg(
         F.count(F.lit(1)).cast("int").alias("num_results"),
-        F.transform(
-            F.array_sort(
-                F.collect_list(
-                    F.when(
-                        (F.col("rank") <= top_ids) & F.col("id").isNotNull(),
-                        F.struct("rank", F.col("id").cast("string").alias("id")),
+        F.slice(
+            F.transform(
+                F.array_sort(
+                    F.collect_list(
+                        F.when(F.col("id").cast("string") != "", F.struct("rank", F.col("id").cast("string").alias("id")))
                     )
-                )
+                ),
+                lambda r: r["id"],
             ),
-            lambda r: r["id"],
+            1,
+            top_ids,
         ).alias("top_ids"),
     )
     curated = F.col("curated") if "curated" in queries.columns else F.lit(False)

@@ -380,8 +380,8 @@ FROM found GROUP BY query_id, term
 
 
 def query_normalise(spark, sf_dir):
-    """User turns in the form best bets are looked up by."""
-    turns = table(spark, sf_dir, "conversations").where("role = 'user'")
+    """All turns in the form best bets are looked up by."""
+    turns = table(spark, sf_dir, "conversations")
     spaced = normalise("text")
     return turns.select(
         "conv_id", "turn", spaced.alias("spaced"), F.replace(spaced, F.lit(" "), F.lit("")).alias("joined")
@@ -393,14 +393,14 @@ SELECT conv_id, turn, spaced, replace(spaced, ' ', '') AS joined
 FROM (
     SELECT conv_id, turn,
            trim(regexp_replace(lower(strip_accents(text)), '[^\p{L}\p{N}]+', ' ', 'g')) AS spaced
-    FROM conversations WHERE role = 'user'
+    FROM conversations
 )
 """
 
 
 def fuzzy_eligibility(spark, sf_dir):
-    """Words of the user turns with the edits each may differ by."""
-    turns = table(spark, sf_dir, "conversations").where("role = 'user'")
+    """Words of all turns with the edits each may differ by."""
+    turns = table(spark, sf_dir, "conversations")
     words = turns.select("conv_id", "turn", F.posexplode(case_tokens("text")).alias("pos", "token"))
     return words.select(
         "conv_id",
@@ -419,7 +419,7 @@ FROM (
     SELECT conv_id, turn, unnest(range(0, len(t)))::BIGINT AS pos, unnest(t) AS token
     FROM (
         SELECT conv_id, turn, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS t
-        FROM conversations WHERE role = 'user'
+        FROM conversations
     )
 )
 """
@@ -462,9 +462,8 @@ SELECT term, match, edits FROM ({one_edit_sql("wanted", "vocab")})
 
 
 def _misspelt(spark, sf_dir):
-    """Passages with only their longer words, each with its last letter doubled."""
-    long_words = F.filter(tokens("query"), lambda t: F.length(t) >= 7)
-    doubled = F.transform(long_words, lambda t: F.concat(t, F.substr(t, F.length(t), F.lit(1))))
+    """Passages with the last letter of every word doubled."""
+    doubled = F.transform(tokens("query"), lambda t: F.concat(t, F.substr(t, F.length(t), F.lit(1))))
     return passages(spark, sf_dir).select("query_id", F.array_join(doubled, " ").alias("query"))
 
 
@@ -482,7 +481,7 @@ FALLBACK_SQL = f"""
 WITH {PAGE_DOCUMENTS_SQL},
 misspelt AS (
     SELECT item_id AS query_id,
-           list_transform(list_filter({words_sql('text')}, lambda t: length(t) >= 7), lambda t: t || right(t, 1)) AS words
+           list_transform({words_sql('text')}, lambda t: t || right(t, 1)) AS words
     FROM benchmark
 ),
 {bm25_sql("page_documents", "id", {"title": ("title", 1.0), "body": ("body", 1.0)},

@@ -234,3 +234,34 @@ def test_upsert_and_sinks(spark, tmp_path):
     write_canonical(canonical(spark, {"id": "a", "tags": "x"}).drop("i"), str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).first()["tags"] == ["x"]
     assert [r["pos"] for r in preview(incoming, 2).collect()] == [9, 0]
+
+
+@pytest.mark.parametrize(
+    "text, ids",
+    [
+        ('{"id":"1"}\n{"id":"2"}\n', ["1", "2"]),
+        ('[{"id":"1"},{"id":"2"}]', ["1", "2"]),
+        ('{"value":[{"id":"1"},{"id":"2"}]}', ["1", "2"]),
+        ('{"id":"1"}', ["1"]),
+        ('[{"id":"1"}]\n[{"id":"2"}]', None),
+        ('{"value":[{"id":"1"}]} junk', None),
+        ('{"id":"1"} {"id":"2"}', None),
+    ],
+)
+def test_content_text_is_read_whole_or_fails(spark, text, ids):
+    from rankloom.sources.content import parse_content
+
+    rows = parse_content(spark.createDataFrame([(text, "f")], "value string, file string"))
+    read = rows.orderBy("pos").select(F.expr("variant_get(record, '$.id', 'string')"))
+    if ids is None:
+        with pytest.raises(Exception):
+            read.collect()
+    else:
+        assert [r[0] for r in read.collect()] == ids
+
+
+def test_numbers_as_dates_stay(spark):
+    rows = spark.createDataFrame([('{"id":"1","lastModified":1700000000}',), ('{"id":"2","lastModified":0}',), ('{"id":"3","lastModified":"20240102"}',)], "j string")
+    docs = canonicalise(rows.select(F.parse_json("j").alias("record")), F.lit("2024-06-30").cast("timestamp"))
+    got = {r["id"]: r["lastModified"] for r in docs.collect()}
+    assert got["1"] == "1700000000" and got["2"] == "2024-06-30T00:00:00Z"

@@ -13,7 +13,7 @@ from rankloom.operators.log_mining import (
     zero_result_queries,
 )
 from rankloom.operators.metrics import config_metrics, lift, query_metrics
-from rankloom.plans.evaluation import build_configs, evaluate
+from rankloom.plans.evaluation import comparisons, evaluate
 from rankloom.plans.search import Index, query_outcomes
 from rankloom.sources.judgments import clean_judgments, read_judgments
 from rankloom.sources.query_log import append_log, log_rows, read_log, split_malformed
@@ -109,10 +109,11 @@ def test_evaluate_end_to_end(spark):
         "id string, title string, body string, url string, tags array<string>",
     )
     judged = spark.createDataFrame([("paspoort", "d1", 3), ("fietss", "/2", 2), ("rijwiel", "d2", 1)], JUDGED)
-    configs = build_configs()
-    assert [c.name for c in build_configs(vectors=True)] == [c.name for c in configs] + ["tuned-hybrid"]
-    assert [c.name for c in build_configs(False, "baseline", "keyword")] == ["baseline-keyword"]
-    metrics, per_query = evaluate({"baseline": Index(docs), "tuned": Index(docs, language="nl")}, judged, configs)
+    indexes = {"baseline": Index(docs), "tuned": Index(docs, language="nl")}
+    configs = comparisons(indexes)
+    assert [c.name for c in configs] == ["baseline-keyword", "tuned-keyword", "tuned-semantic"]
+    assert [c.name for c in comparisons({"tuned": Index(docs, language="nl", vectors=docs)})][-1] == "tuned-hybrid"
+    metrics, per_query = evaluate(indexes, judged, configs)
     assert metrics.count() == 3 and per_query.count() == 9
     base = metrics.where("config = 'baseline-keyword'").first()
     assert (base["success_at_1"], base["zero_result_rate"]) == (round(2 / 3, 6), round(1 / 3, 6))
