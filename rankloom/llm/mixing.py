@@ -191,21 +191,22 @@ class Fit:
 def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE) -> Fit:
     """Projected gradient descent for rates whose expected domain tokens meet the targets.
 
-    The targets are shares of all tokens. The residual of the K domain totals is
-    weighted by the inverse of its Gram matrix, for which a step of 1 is safe; steps
-    start with momentum. A document's rate after any number of steps follows from its K chances and the steps'
+    The targets are shares of all tokens. Steps are as long as the largest eigenvalue of
+    the K by K Gram matrix allows and start with momentum. Targets that no rates can meet
+    end in the nearest totals, so expected tokens never leave the targets further than
+    equal rates do. A document's rate after any number of steps follows from its K chances and the steps'
     K numbers, so a step is one pass that returns K sums; no state is kept per document
     and a lost executor costs nothing but its share of a pass.
     """
     gram = _spread(members)
     expected, ahead = _expected(members, [])
     wanted = expected.sum() * np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
-    inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+    steepest = max(float(np.linalg.eigvalsh(gram)[-1]), 1.0)
     moves = []
     for _ in range(max_steps):
         if np.abs(expected - wanted).max() <= tolerance * max(wanted.sum(), 1.0):
             break
-        moves.append(inverse @ (ahead - wanted))
+        moves.append((ahead - wanted) / steepest)
         expected, ahead = _expected(members, moves)
     return Fit(moves, expected, wanted)
 
