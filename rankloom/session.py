@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to ``spark`` and return it."""
@@ -53,10 +55,17 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
 
     For intermediate results that several later passes read: an executor that
     is lost takes nothing with it, and later passes read only their columns.
+    The shuffle files behind it go as soon as it is written, as nothing reads them again.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_SHUFFLE_CLEANUP) if before is None else spark.conf.set(_SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def settled(df: DataFrame) -> DataFrame:
