@@ -3,6 +3,8 @@
 Only the first ``LENGTH`` bytes of a suffix matter, so the recursion on names ends
 when the names cover them:
 
+0. Of equal texts only those of the smallest document are sorted; all others are
+   repeats as a whole.
 1. Places that can't start a repeated string are left out exactly: every string of
    ``LENGTH`` bytes holds the smallest hash of its ``GRAM``-byte grams, so only strings
    around grams that several documents select can repeat.
@@ -38,9 +40,29 @@ _TAIL = LENGTH - 3 * STEP
 
 
 def _ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, text, copied, tag``: ``copied`` where a smaller document has the same text.
+
+    ``tag`` tells the texts of one document apart and is 0 where it has only one, so that
+    the places sorted later carry nothing for it. Texts are the same when 128 bits of
+    hashes agree.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.xxhash64(text).alias("text_hash"), text.alias("text")
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"),
+        F.xxhash64(text).alias("text_hash"),
+        F.xxhash64(F.lit(1), text).alias("text_check"),
+        text.alias("text"),
+    )
+    copies = rows.groupBy("text_hash", "text_check").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    copies = stored(copies.filter("first < last").select("text_hash", "text_check", "first"), "copies")
+    several = rows.groupBy("doc").agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"))
+    several = stored(several.filter("lo < hi").select("doc", F.lit(True).alias("several")), "several")
+    joined = rows.join(copies, ["text_hash", "text_check"], "left").join(several, "doc", "left")
+    return joined.select(
+        "doc",
+        "text",
+        F.coalesce(F.col("doc") > F.col("first"), F.lit(False)).alias("copied"),
+        F.when(F.col("several"), F.col("text_hash")).otherwise(F.lit(0)).cast("long").alias("tag"),
     )
 
 
@@ -73,22 +95,22 @@ def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, _, data, offsets in parts(batch.column(2), _PART):
+        for low, _, data, offsets in parts(batch.column(1), _PART):
             at, grams = _anchors(data, offsets)
             row = np.searchsorted(offsets, at, side="right") - 1
             index = pa.array(row + low)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams.view(np.int64)), batch.column(0).take(index), batch.column(1).take(index), pa.array((at - offsets[row]).astype(np.int32))],
-                names=["gram", "doc", "text_hash", "pos"],
+                [pa.array(grams.view(np.int64)), batch.column(0).take(index), pa.array((at - offsets[row]).astype(np.int32))],
+                names=["gram", "doc", "pos"],
             )
 
 
-def _candidates(docs: DataFrame) -> DataFrame:
-    """``doc, text_hash, anchors`` of the rows with grams that several documents select."""
-    rows = docs.mapInArrow(_anchor_rows, "gram long, doc long, text_hash long, pos int")
+def _candidates(texts: DataFrame) -> DataFrame:
+    """``doc, anchors`` of the documents with grams that several documents select."""
+    rows = texts.select("doc", "text").mapInArrow(_anchor_rows, "gram long, doc long, pos int")
     shared = rows.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select("gram")
     found = rows.join(stored(shared, "grams"), "gram", "left_semi")
-    return found.groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("anchors"))
+    return stored(found.groupBy("doc").agg(F.collect_set("pos").alias("anchors")), "anchors")
 
 
 def _packed(padded: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
@@ -104,19 +126,21 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     ``own`` has bit d set when the string that starts d bytes earlier is a candidate;
     places without bits only lend their name to a triple. ``around`` packs the two
-    bytes before and the bytes behind what a triple covers.
+    bytes before and the bytes behind what a triple covers. Anchors are those of all texts
+    of the document, so some may lie behind the end of this one.
     """
     width = LENGTH - GRAM
     for batch in batches:
-        for doc, text_hash, text, anchors in zip(*(batch.column(k) for k in range(4))):
+        for doc, tag, text, anchors in zip(*(batch.column(k) for k in range(4))):
             data = np.frombuffer(text.as_py().encode(), dtype=np.uint8)
             n = len(data)
             starts = np.zeros(n + 1, dtype=np.int64)
-            for anchor in np.asarray(anchors.values):
-                starts[max(0, anchor - width)] += 1
-                starts[anchor + 1] -= 1
+            at = np.asarray(anchors.values)
+            at = at[at < n]
+            np.add.at(starts, np.maximum(at - width, 0), 1)
+            np.add.at(starts, at + 1, -1)
             candidate = np.cumsum(starts[:-1]) > 0
-            candidate[n - LENGTH + 1 :] = False
+            candidate[max(0, n - LENGTH + 1) :] = False
             own = np.zeros(n + 3, dtype=np.int32)
             for back in range(3):
                 own[back : back + n] |= candidate.astype(np.int32) << back
@@ -129,56 +153,72 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(places), doc.as_py())),
-                    pa.array(np.full(len(places), text_hash.as_py())),
+                    pa.array(np.full(len(places), tag.as_py())),
                     pa.array(places.astype(np.int32)),
                     pa.array(np.where(places < len(own), own[np.minimum(places, len(own) - 1)], 0).astype(np.int32)),
                     pa.array(around),
                     pa.array(_packed(padded, here, 7)),
-                    pa.array(_packed(padded, here + 7, 4)),
-                    pa.array(_packed(padded, here + 11, 4)),
+                    pa.array(_packed(padded, here + 7, 8)),
                 ],
-                names=["doc", "text_hash", "pos", "own", "around", "k1", "k2", "k3"],
+                names=["doc", "tag", "pos", "own", "around", "k1", "k2"],
             )
 
 
-def _locally_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the number of different keys so far in this sorted range, and the range's number."""
-    part = TaskContext.get().partitionId()
-    last, count = None, -1
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = [batch.column(f"k{k}").to_numpy(zero_copy_only=False) for k in (1, 2, 3)]
-        fresh = np.zeros(batch.num_rows, dtype=bool)
-        for key in keys:
-            fresh[1:] |= key[1:] != key[:-1]
-        fresh[0] = last != tuple(key[0] for key in keys)
-        names = count + np.cumsum(fresh)
-        last, count = tuple(key[-1] for key in keys), int(names[-1])
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(names), pa.array(np.full(len(names), part, dtype=np.int32))], names=[*batch.schema.names, "local", "part"]
-        )
+def _namer(keys: list[str]):
+    def locally_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Replaces the keys by the number of different keys so far in this sorted range.
+
+        Only the first row of the range and the last one of every batch keep their keys.
+        """
+        part = TaskContext.get().partitionId()
+        last, count = None, -1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            fresh = np.zeros(batch.num_rows, dtype=bool)
+            for value in values:
+                fresh[1:] |= value[1:] != value[:-1]
+            fresh[0] = last != tuple(value[0] for value in values)
+            names = count + np.cumsum(fresh)
+            edge = np.zeros(batch.num_rows, dtype=bool)
+            edge[0] = last is None
+            edge[-1] = True
+            last, count = tuple(value[-1] for value in values), int(names[-1])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(c for c, n in zip(batch.columns, batch.schema.names) if n not in keys),
+                    pa.array(names),
+                    pa.array(np.full(len(names), part, dtype=np.int32)),
+                    *(pa.array(value, mask=~edge) for value in values),
+                ],
+                names=[*(n for n in batch.schema.names if n not in keys), "local", "part", *keys],
+            )
+
+    return locally_named
 
 
-def _named(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``name``, the dense rank of ``(k1, k2, k3)`` over the whole table.
+def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``name``, the dense rank of ``keys`` over the whole table, in their place.
 
     Ranges are cut by key, document and place, so a key that very many documents hold
     spreads; a range that begins with the last key of the one before continues its name.
     One row per range reaches the driver.
     """
-    ordered = rows.repartitionByRange("k1", "k2", "k3", "doc", "pos").sortWithinPartitions("k1", "k2", "k3", "doc", "pos")
-    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", local long, part int"
-    found = stored(ordered.mapInArrow(_locally_named, schema), "named")
-    key = F.struct("k1", "k2", "k3")
-    ranges = found.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.max("local").alias("top"))
+    ordered = rows.repartitionByRange(*keys, "doc", "pos").sortWithinPartitions(*keys, "doc", "pos")
+    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n not in keys) + ", local long, part int"
+    schema += "".join(f", {k} long" for k in keys)
+    found = stored(ordered.mapInArrow(_namer(keys), schema), "named")
+    key = F.struct(*keys)
+    edges = found.filter(F.col(keys[0]).isNotNull())
+    ranges = edges.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.max("local").alias("top"))
     offsets, following, before = [], 0, None
     for row in sorted(ranges.collect(), key=lambda r: r["part"]):
         base = following - (row["first"] == before)
         offsets.append((row["part"], base))
         following, before = base + row["top"] + 1, row["last"]
     table = F.broadcast(rows.sparkSession.createDataFrame(offsets or [(0, 0)], "part int, base long"))
-    return found.join(table, "part").withColumn("name", F.col("base") + F.col("local")).drop("part", "base", "local", "k1", "k2", "k3")
+    return found.join(table, "part").withColumn("name", F.col("base") + F.col("local")).drop("part", "base", "local", *keys)
 
 
 def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,16 +227,16 @@ def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Rows come by document and place; the last rows of a batch wait for the places that
     may follow in the next one.
     """
-    names = ["doc", "text_hash", "pos", "own", "around", "k1", "k2", "k3"]
+    names = ["doc", "tag", "pos", "own", "around", "k1", "k2", "k3"]
     held = None
 
     def out(columns, ready):
-        doc, text_hash, pos, own, around, name = columns
-        turn = np.concatenate([[0], np.cumsum((doc[1:] != doc[:-1]) | (text_hash[1:] != text_hash[:-1]))])
+        doc, tag, pos, own, around, name = columns
+        turn = np.concatenate([[0], np.cumsum((doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]))])
         key = (turn << 32) | pos
         chosen = np.flatnonzero((own > 0) & ready)
         at = [np.searchsorted(key, key[chosen] + k * STEP) for k in (1, 2)]
-        kept = (c[chosen] for c in (doc, text_hash, pos, own, around, name))
+        kept = (c[chosen] for c in (doc, tag, pos, own, around, name))
         return pa.RecordBatch.from_arrays([*(pa.array(c) for c in kept), *(pa.array(name[a]) for a in at)], names=names)
 
     for batch in batches:
@@ -205,26 +245,26 @@ def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
         if held is not None:
             columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
-        doc, text_hash, pos = columns[:3]
-        waits = (doc == doc[-1]) & (text_hash == text_hash[-1]) & (pos > pos[-1] - 2 * STEP)
+        doc, tag, pos = columns[:3]
+        waits = (doc == doc[-1]) & (tag == tag[-1]) & (pos > pos[-1] - 2 * STEP)
         yield out(columns, ~waits)
         held = [c[waits] for c in columns]
     if held is not None:
         yield out(held, np.ones(len(held[0]), dtype=bool))
 
 
-def _repeats(docs: DataFrame) -> DataFrame:
-    """``doc, text_hash, pos``: starts of strings that a document with a smaller id holds too."""
-    texts = docs.join(_candidates(docs), ["doc", "text_hash"]).select("doc", "text_hash", "text", "anchors")
+def _repeats(texts: DataFrame) -> DataFrame:
+    """``doc, tag, pos``: starts of strings that a document with a smaller id holds too."""
+    sampled = texts.join(_candidates(texts), "doc").select("doc", "tag", "text", "anchors")
     bytes_named = _named(
-        texts.mapInArrow(_sample_rows, "doc long, text_hash long, pos int, own int, around long, k1 long, k2 long, k3 long")
+        sampled.mapInArrow(_sample_rows, "doc long, tag long, pos int, own int, around long, k1 long, k2 long"), ["k1", "k2"]
     )
-    columns = ["doc", "text_hash", "pos", "own", "around", "name"]
-    by_text = bytes_named.select(*columns).repartition("doc", "text_hash").sortWithinPartitions("doc", "text_hash", "pos")
+    columns = ["doc", "tag", "pos", "own", "around", "name"]
+    by_text = bytes_named.select(*columns).repartition("doc", "tag").sortWithinPartitions("doc", "tag", "pos")
     triples = by_text.mapInArrow(
-        _triples, "doc long, text_hash long, pos int, own int, around long, k1 long, k2 long, k3 long"
+        _triples, "doc long, tag long, pos int, own int, around long, k1 long, k2 long, k3 long"
     )
-    named = _named(triples)
+    named = _named(triples, ["k1", "k2", "k3"])
     # what a name leaves out of the string that starts d bytes before the sampled place
     around = F.col("around")
     outside = [
@@ -237,7 +277,7 @@ def _repeats(docs: DataFrame) -> DataFrame:
         mine = named.filter(F.col("own").bitwiseAND(F.lit(1 << back)) != 0).withColumn("rest", outside[back])
         firsts = mine.groupBy("name", "rest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
         later = mine.join(stored(firsts.select("name", "rest", "first"), "firsts"), ["name", "rest"]).filter("doc > first")
-        found.append(later.select("doc", "text_hash", (F.col("pos") - back).alias("pos")))
+        found.append(later.select("doc", "tag", (F.col("pos") - back).alias("pos")))
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
@@ -245,10 +285,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     for batch in batches:
         columns: list[list] = [[] for _ in names]
-        for doc, text, starts in zip(batch.column(0), batch.column(1), batch.column(2)):
+        for doc, text, copied, starts in zip(*(batch.column(k) for k in range(4))):
             data = np.frombuffer(text.as_py().encode(), dtype=np.uint8)
             gone = np.zeros(len(data) + 1, dtype=np.int64)
-            if starts.is_valid:
+            if copied.as_py():
+                gone[0] = len(data) >= LENGTH
+            elif starts.is_valid:
                 at = np.asarray(starts.values)
                 np.add.at(gone, at, 1)
                 np.add.at(gone, at + LENGTH, -1)
@@ -276,8 +318,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are ignored.
     """
     texts = _ids(docs, id_col, text_col)
-    starts = _repeats(texts).groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("starts"))
-    joined = texts.join(starts, ["doc", "text_hash"], "left").select("doc", "text", "starts")
+    starts = _repeats(texts.filter("not copied")).groupBy("doc", "tag").agg(F.collect_set("pos").alias("starts"))
+    joined = texts.join(starts, ["doc", "tag"], "left").select("doc", "text", "copied", "starts")
     rows = joined.mapInArrow(_cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return rows.withColumn("doc_id", F.when(F.col("doc") != _NULL_ID, F.col("doc"))).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"
