@@ -29,6 +29,12 @@ IDENTIFIER = rf"{_CHARS}{{{MIN_IDENTIFIER},}}"
 
 FALSE_ALARMS = 0.001
 HELD_OUT = 10
+# Characters on each side of a token that tell its places apart, and the fewest surely
+# ordinary tokens to learn from; with fewer, all tokens that may be ordinary are used.
+_AROUND = 16
+LEAST_SURE = 50
+# Fewer held-out random strings don't tell what share of the ordinary tokens are like them.
+_LEAST_RANDOM = 5
 _BIN = 0.02
 _BLOCK = 256
 
@@ -92,20 +98,41 @@ def with_base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def labelled_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``token, random``: every distinct token of all texts the models learn from.
+    """``token, random, sure``: every distinct token of all texts the models can learn from.
 
     Random strings (1) are what the fixed patterns find, assigned values with a digit
-    only. All other runs of ``MIN_IDENTIFIER`` token characters are ordinary (0).
+    only. All other runs of ``MIN_IDENTIFIER`` token characters may be ordinary (0), or
+    keys nobody named. Sure to be ordinary are those with different text before them
+    and different text after them in two places; a key in copies of a text is not.
     """
     df = with_base_spans(docs.select(F.col(text_col).alias("text")))
     assigned = F.filter(F.transform("_assign", lambda s: s["value"]), lambda v: v.rlike("[0-9]"))
     sure = F.concat(assigned, F.transform("_access", lambda s: s["value"]), F.transform("_hex", lambda s: s["value"]))
     any_base = rf"{ASSIGN}|{ACCESS}|[0-9a-f]{{{MIN_HEX},}}"
     outside = F.when(F.size(sure) > 0, F.regexp_replace("_text", any_base, " ")).otherwise(F.col("_text"))
-    ordinary = F.regexp_extract_all(outside, F.lit(IDENTIFIER), F.lit(0))
-    label = lambda n: lambda t: F.struct(t.alias("token"), F.lit(n).alias("random"))
-    both = df.select(F.explode(F.concat(F.transform(sure, label(1)), F.transform(ordinary, label(0)))).alias("t"))
-    return both.select("t.token", "t.random").groupBy("token").agg(F.max("random").alias("random"))
+    df = df.select(sure.alias("_sure"), outside.alias("_outside"))
+    df = df.withColumn("_found", F.regexp_extract_all("_outside", F.lit(IDENTIFIER), F.lit(0)))
+    df = df.withColumn("_gaps", F.when(F.size("_found") > 0, F.split("_outside", IDENTIFIER, -1)))
+    token = lambda i: F.coalesce(F.get("_found", i), F.lit(""))
+    before = lambda i: F.right(F.concat(token(i - 1), F.get("_gaps", i)), F.lit(_AROUND))
+    after = lambda i: F.left(F.concat(F.get("_gaps", i + 1), token(i + 1)), F.lit(_AROUND))
+
+    def row(t, random, left, right):
+        return F.struct(t.alias("token"), F.lit(random).alias("random"), left.alias("left"), right.alias("right"))
+
+    none = F.lit(0).cast("long")
+    random = F.transform("_sure", lambda t: row(t, 1, none, none))
+    ordinary = F.transform("_found", lambda t, i: row(t, 0, F.xxhash64(before(i)), F.xxhash64(after(i))))
+    both = df.select(F.explode(F.concat(random, ordinary)).alias("t")).select("t.*")
+    varied = (F.min("left") != F.max("left")) & (F.min("right") != F.max("right"))
+    grouped = both.groupBy("token").agg(F.max("random").alias("random"), varied.alias("sure"))
+    return grouped.select("token", "random", ((F.col("random") == 0) & F.col("sure")).alias("sure"))
+
+
+def learned_from(tokens: DataFrame) -> DataFrame:
+    """The random strings and the surely ordinary tokens; all tokens where too few are sure."""
+    enough = tokens.filter("sure").limit(LEAST_SURE).count() == LEAST_SURE
+    return tokens.filter("random = 1 or sure") if enough else tokens
 
 
 def _held_out() -> Column:
@@ -146,20 +173,31 @@ def token_score(token: Column, ratios: list[float]) -> Column:
     return F.aggregate(chars, state, step, lambda acc: acc["sum"] / F.size(chars))
 
 
+def _limit(ordinary: dict[int, int], random: dict[int, int], false_alarms: float) -> int:
+    """The least bin, from 0, that at most this share of ordinary tokens exceeds.
+
+    ``ordinary`` and ``random`` count held-out tokens per bin. Ordinary tokens that are
+    keys after all score as random strings do, so what the upper half of those shows to
+    be like them is left out of the share.
+    """
+    n, m = sum(ordinary.values()), sum(random.values())
+    if not n:
+        return 0
+    exceed = lambda counts, place: sum(c for b, c in counts.items() if b > place)
+    places = range(max([*ordinary, *random]) + 1)
+    known = [(exceed(ordinary, p) / n, exceed(random, p) / max(m, 1)) for p in places]
+    keys = min([1.0, *(o / r for o, r in known if r >= 0.5)]) if m >= _LEAST_RANDOM and known[0][1] >= 0.5 else 0.0
+    return next(p for p, (o, r) in zip(places, known) if o - keys * r <= false_alarms * (1 - keys))
+
+
 def threshold(tokens: DataFrame, ratios: list[float], false_alarms: float = FALSE_ALARMS) -> float:
     """The least score, not below 0, that at most this share of held-out identifiers exceeds."""
-    scored = tokens.filter(_held_out() & (F.col("random") == 0)).select(
-        F.greatest(F.lit(0), F.ceil(token_score(F.col("token"), ratios) / _BIN)).cast("int").alias("bin")
-    )
-    bins = sorted((row["bin"], row["count"]) for row in scored.groupBy("bin").count().collect())
-    above, best = 0, 0
-    allowed = false_alarms * sum(n for _, n in bins)
-    for place, n in reversed(bins):
-        if above + n > allowed:
-            best = place
-            break
-        above += n
-    return best * _BIN
+    place = F.greatest(F.lit(0), F.ceil(token_score(F.col("token"), ratios) / _BIN)).cast("int")
+    scored = tokens.filter(_held_out()).select("random", place.alias("bin"))
+    counts = ({}, {})
+    for row in scored.groupBy("random", "bin").count().collect():
+        counts[row["random"]][row["bin"]] = row["count"]
+    return _limit(*counts, false_alarms) * _BIN
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_alarms: float = FALSE_ALARMS) -> DataFrame:
@@ -174,7 +212,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     as often; other columns are ignored. Without any token to learn from the models
     are equal and add nothing.
     """
-    tokens = stored(labelled_tokens(docs, text_col), "tokens")
+    tokens = learned_from(stored(labelled_tokens(docs, text_col), "tokens"))
     ratios = log_ratios(tokens)
     limit = threshold(tokens, ratios, false_alarms)
     df = with_base_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))

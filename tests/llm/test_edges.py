@@ -222,6 +222,31 @@ def test_secrets(spark, docs, empty):
     assert secrets.secret_spans(empty).count() == 0 and secrets.secret_spans(docs).count() == docs.count()
 
 
+def key_texts(rng, key, n):
+    """Texts of repeated identifiers, each with one bare key of its own and one assigned, and the bare keys."""
+    names = ["".join(rng.choice(["State", "Ment", "ation", "Ing", "Hold3", "Jack", "Go7", "Frame", "Event"]) for _ in range(5)) + "2" for _ in range(600)]
+    keys = [key() for _ in range(n)]
+    texts = [" ".join([*rng.choices(names, k=20), k, *rng.choices(names, k=20), "token=" + key()]) for k in keys]
+    return texts, set(keys), set(names)
+
+
+def test_many_bare_secrets(spark):
+    rng = random.Random(3)
+    key = lambda: "".join(rng.choice("ABCDEFGHJKabcdefghjk0123456789") for _ in range(40))
+    texts, keys, names = key_texts(rng, key, 400)
+    rows = list(enumerate(texts + texts[:100]))  # copies don't make a key ordinary
+    found = secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {s["match"] for r in found for s in r["markov"]}
+    assert len(got & keys) >= 0.99 * len(keys) and len(got & names) <= 1
+
+
+def test_keys_among_the_ordinary_do_not_lift_the_limit():
+    ordinary, random_strings = {0: 9000, 5: 900, 10: 50, 40: 25, 50: 25}, {40: 50, 50: 50}
+    assert secrets._limit(ordinary, {}, 0.001) >= 40
+    assert secrets._limit(ordinary, random_strings, 0.001) == 10
+    assert secrets._limit({0: 10, 3: 1}, random_strings, 0.001) == 3
+
+
 def test_many_spans_keep_their_places(spark):
     text = " ".join(f"{k:032x}" for k in range(1500))
     row = secrets.secret_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
