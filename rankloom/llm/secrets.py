@@ -7,6 +7,7 @@ the text; what is shuffled are the distinct tokens the models are trained from.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,11 +22,12 @@ MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CHARS = "[A-Za-z0-9+/_=-]"
-MIN_RANDOM = 20
-# A whole token of that length with a letter and a digit; the look-behind keeps the search linear.
-RANDOM_TOKEN = rf"(?<!{_CHARS})(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z]){_CHARS}{{{MIN_RANDOM},}}"
 MIN_IDENTIFIER = 12
 IDENTIFIER = rf"{_CHARS}{{{MIN_IDENTIFIER},}}"
+# A whole token of that length; the look-behind keeps the search linear.
+RANDOM_TOKEN = rf"(?<!{_CHARS}){IDENTIFIER}"
+# Least lengths of the classes of tokens that have a limit of their own: means over more characters vary less.
+LENGTHS = (MIN_IDENTIFIER, 16, 20, 32)
 
 FALSE_ALARMS = 0.001
 HELD_OUT = 10
@@ -190,23 +192,32 @@ def _limit(ordinary: dict[int, int], random: dict[int, int], false_alarms: float
     return next(p for p, (o, r) in zip(places, known) if o - keys * r <= false_alarms * (1 - keys))
 
 
-def threshold(tokens: DataFrame, ratios: list[float], false_alarms: float = FALSE_ALARMS) -> float:
-    """The least score, not below 0, that at most this share of held-out identifiers exceeds."""
+def _length_class(token: Column) -> Column:
+    """Place in ``LENGTHS`` of a token; shorter ones count as the first."""
+    return F.greatest(F.lit(0), sum((F.length(token) >= n).cast("int") for n in LENGTHS) - 1)
+
+
+def thresholds(tokens: DataFrame, ratios: list[float], false_alarms: float = FALSE_ALARMS) -> list[float]:
+    """The least score per length class, not below 0, that at most this share of held-out identifiers exceeds.
+
+    A class with few held-out identifiers has the limit of all lengths. Random strings
+    are counted over all lengths, as most are as long as the fixed patterns make them.
+    """
     place = F.greatest(F.lit(0), F.ceil(token_score(F.col("token"), ratios) / _BIN)).cast("int")
-    scored = tokens.filter(_held_out()).select("random", place.alias("bin"))
-    counts = ({}, {})
-    for row in scored.groupBy("random", "bin").count().collect():
-        counts[row["random"]][row["bin"]] = row["count"]
-    return _limit(*counts, false_alarms) * _BIN
+    scored = tokens.filter(_held_out()).select("random", _length_class(F.col("token")).alias("length"), place.alias("bin"))
+    random, whole, classes = Counter(), Counter(), [Counter() for _ in LENGTHS]
+    for row in scored.groupBy("random", "length", "bin").count().collect():
+        for counts in (random,) if row["random"] else (whole, classes[row["length"]]):
+            counts[row["bin"]] += row["count"]
+    return [_limit(c if sum(c.values()) >= LEAST_SURE else whole, random, false_alarms) * _BIN for c in classes]
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_alarms: float = FALSE_ALARMS) -> DataFrame:
     """``doc_id, base, markov``: arrays of ``(start, kind, end, match, value)`` per row of ``docs``.
 
     ``base`` are the fixed-pattern spans, ``markov`` whole tokens of at least
-    ``MIN_RANDOM`` characters with a letter and a digit, outside assigned values and
-    long hex runs, that the character models score as random. Places are code points,
-    the end exclusive.
+    ``MIN_IDENTIFIER`` characters, outside assigned values and long hex runs, that the
+    character models score as random. Places are code points, the end exclusive.
 
     Null and empty texts have no spans; null ids stay null; repeated rows are returned
     as often; other columns are ignored. Without any token to learn from the models
@@ -214,13 +225,13 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     tokens = learned_from(stored(labelled_tokens(docs, text_col), "tokens"))
     ratios = log_ratios(tokens)
-    limit = threshold(tokens, ratios, false_alarms)
+    limits = F.array(*map(F.lit, thresholds(tokens, ratios, false_alarms)))
     df = with_base_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     df = _spans(df, "_tokens", f"(?:{ASSIGN})|{RANDOM_TOKEN}", 3, check=RANDOM_TOKEN)
-    base_inside = rf"(?i:password|passwd|secret|token|api_?key)=[A-Za-z0-9+/_=-]{{{MIN_ASSIGNED},}}|[0-9a-f]{{{MIN_HEX},}}|AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}"
-    free = F.filter("_tokens", lambda s: s["match"].rlike(f"^{_CHARS}{{{MIN_RANDOM},}}$") & ~s["match"].rlike(base_inside))
+    base_inside = rf"^(?i:password|passwd|secret|token|api_?key)=|(?i:password|passwd|secret|token|api_?key)=[A-Za-z0-9+/_=-]{{{MIN_ASSIGNED},}}|[0-9a-f]{{{MIN_HEX},}}|AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}"
+    free = F.filter("_tokens", lambda s: s["match"].rlike(f"^{IDENTIFIER}$") & ~s["match"].rlike(base_inside))
     df = df.withColumn("_free", free)
-    random = F.filter("_free", lambda s: token_score(s["match"], ratios) > limit)
+    random = F.filter("_free", lambda s: token_score(s["match"], ratios) > F.get(limits, _length_class(s["match"])))
     return df.select("doc_id", "_assign", "_access", "_hex", random.alias("markov")).select(
         "doc_id", F.array_sort(F.concat("_assign", "_access", "_hex")).alias("base"), "markov"
     )

@@ -240,6 +240,18 @@ def test_many_bare_secrets(spark):
     assert len(got & keys) >= 0.99 * len(keys) and len(got & names) <= 1
 
 
+def test_short_and_letter_secrets(spark):
+    rng = random.Random(4)
+    letters, digits = "ABCDEFGHJKQWXZabcdefghjkqwxz", "0123456789"
+    short = lambda: "".join(rng.choice(letters + digits) for _ in range(14))
+    plain = lambda: "".join(rng.choice(letters) for _ in range(32))
+    made = [key_texts(rng, key, 200) for key in (short, plain)]
+    rows = list(enumerate(t for texts, _, _ in made for t in texts))
+    got = {s["match"] for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect() for s in r["markov"]}
+    assert all(len(got & keys) >= 0.95 * len(keys) and len(got & names) <= 2 for _, keys, names in made)
+    assert not any(t.startswith("token=") for t in got)
+
+
 def test_keys_among_the_ordinary_do_not_lift_the_limit():
     ordinary, random_strings = {0: 9000, 5: 900, 10: 50, 40: 25, 50: 25}, {40: 50, 50: 50}
     assert secrets._limit(ordinary, {}, 0.001) >= 40
