@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankloom.llm import containment, lines, mixing, parity, quality, secrets, sharding, suffixes, urls, warc
+from rankloom.llm import containment, licenses, lines, mixing, parity, quality, rtree, runs, secrets, sharding, suffixes, urls, warc
 from rankloom.session import prepare, scratch_path
 
 QUERIES: dict = {}
@@ -228,3 +228,131 @@ cut AS (
 SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
        coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)"""
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: every tenth document, by a hash of its id, repeats a stretch of its words to its end."""
+    docs = docs.withColumn("h", F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.select("doc_id", "text", words.alias("w"), F.expr("h div 10").alias("g"))
+    docs = docs.withColumn("n", F.size("w")).withColumn("a", F.expr("if(n > 0, int(g % n), 0)"))
+    docs = docs.withColumn("times", (F.col("g") % 8 + 3).cast("int"))
+    docs = docs.withColumn("p", F.expr("int(1 + (n - a) div times)"))
+    stretch = F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.col("times"))
+    words = F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), F.flatten(stretch)), F.lit(1), F.col("n"))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op11_grammar_runs(spark, sf_dir):
+    found = runs.periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    # the runs come by start, then period, so of equal exponents the first one stays
+    best = F.expr(
+        "aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>),"
+        " (b, r) -> if(b is null or r.length * b.period > b.length * r.period, r, b))"
+    )
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n")))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}") for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@_query
+def op12_license_rules(spark, sf_dir):
+    found = licenses.license_detections(table(spark, sf_dir, "documents"))
+    joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
+    return found.withColumns(joined | {"n_detections": F.size("detections").cast("long")}).drop("detections")
+
+
+_LICENSE_RULES_SQL = ", ".join(
+    f"({k}, '{r.label}', '{r.regex}', {r.priority}, {r.strength}::DOUBLE)" for k, r in enumerate(licenses.RULES)
+)
+ORACLE["op12_license_rules"] = rf"""
+WITH rules(rule, label, regex, priority, strength) AS (VALUES {_LICENSE_RULES_SQL}),
+texts AS (
+    SELECT doc_id, row_number() OVER () AS row,
+           regexp_replace({_LOWER_SQL.format("coalesce(text, '')")}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', '  ', 'g') AS joined
+    FROM documents
+),
+spaced AS (SELECT doc_id, row, ' ' || trim(joined, ' ') || ' ' AS s, regexp_extract_all(joined, '[^ ]+') AS w FROM texts),
+phrases(label, p) AS (
+    VALUES ('mit', ['under', 'the', 'mit', 'license']), ('apache-2', ['apache', 'license', 'version', '2']),
+           ('cc-by-nc', ['cc', 'by', 'nc'])
+),
+places AS (
+    SELECT row, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1 : i + len(p)] = p)) AS pos
+    FROM spaced CROSS JOIN phrases
+),
+base AS (
+    SELECT row, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM places GROUP BY row
+),
+matched AS (
+    SELECT row, rule, label, priority, strength, regexp_extract_all(s, regex) AS found, string_split_regex(s, regex) AS gaps
+    FROM spaced CROSS JOIN rules WHERE regexp_matches(s, regex)
+),
+numbered AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matched),
+spans AS (
+    SELECT row, rule, label, priority, strength, b, b + length(found[i]) AS e
+    FROM (
+        SELECT *, list_sum(list_transform(gaps[:i], lambda g: length(g)))
+                  + coalesce(list_sum(list_transform(found[: i - 1], lambda m: length(m))), 0) AS b
+        FROM numbered
+    )
+),
+kept AS (
+    SELECT * FROM spans x WHERE NOT EXISTS (
+        FROM spans y WHERE y.row = x.row AND y.b <= x.b AND y.e >= x.e AND y.priority >= x.priority
+        AND (y.e - y.b > x.e - x.b OR y.priority > x.priority OR y.rule < x.rule)
+    )
+),
+by_label AS (
+    SELECT row, label, max(strength) AS strength
+    FROM (SELECT row, label, strength FROM kept UNION ALL SELECT row, label, 0.95 FROM places) GROUP BY ALL
+),
+scores AS (
+    SELECT row, string_agg(label, ',' ORDER BY label) AS labels, round(1 - product(1 - strength), 6) AS score
+    FROM by_label GROUP BY row
+),
+counts AS (SELECT row, count(*) AS n_detections FROM kept GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score,
+       coalesce(n_detections, 0) AS n_detections
+FROM spaced LEFT JOIN base USING (row) LEFT JOIN scores USING (row) LEFT JOIN counts USING (row)"""
+
+
+@_query
+def op13_rtree_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return rtree.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op13_rtree_negatives"] = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank, id AS negative_id,
+       positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
