@@ -32,7 +32,7 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     return vectors / np.where(norms == 0, 1.0, norms)
 
@@ -68,6 +68,10 @@ class _Cells:
         return (bound <= limit[:, None] + SLACK) & (self.counts > 0)
 
 
+def vector_rows(rows: DataFrame, name: str) -> DataFrame:
+    """The id column ``name`` and ``vec`` of the rows that have a vector."""
+    return rows.select(name, F.col("vec").cast("array<float>").alias("vec")).where(F.size("vec") > 0)
+
 
 def choose_pivots(docs: DataFrame, cells: int) -> np.ndarray:
     """``cells`` document vectors in hash order; bounded by MAX_CELLS rows."""
@@ -90,18 +94,16 @@ def knn(
     """
     if metric not in ("cosine", "l2"):
         raise ValueError(f"unknown metric {metric!r}")
-    docs = docs.select("id", F.col("vec").cast("array<float>").alias("vec")).where(F.size("vec") > 0)
-    queries = queries.select("query_id", F.col("vec").cast("array<float>").alias("vec")).where(
-        F.size("vec") > 0
-    )
+    docs, queries = vector_rows(docs, "id"), vector_rows(queries, "query_id")
     if cells is None:
         n_docs = docs.count()
         # One block needs no cells.
         cells = 1 if n_docs <= BLOCK_ROWS else int(min(np.sqrt(n_docs) / 2, MAX_CELLS))
     pivots = choose_pivots(docs, cells)
     if len(pivots) == 0:
-        return docs.sparkSession.createDataFrame([], "query_id bigint, id bigint, score double, rank int")
-    prepared = _unit if metric == "cosine" else (lambda m: m)
+        kinds = f"query_id {dict(queries.dtypes)['query_id']}, id {dict(docs.dtypes)['id']}"
+        return docs.sparkSession.createDataFrame([], f"{kinds}, score double, rank int")
+    prepared = unit_rows if metric == "cosine" else (lambda m: m)
     pivots = prepared(pivots)
     id_type = dict(docs.dtypes)["id"]
     query_type = dict(queries.dtypes)["query_id"]
@@ -160,9 +162,9 @@ def knn(
 
     routed_schema = f"query_id {query_type}, vec array<float>, cell int"
     hit_schema = f"query_id {query_type}, id {id_type}, score double"
-    search = _block_search(k, metric, prepared, exclude_same_id, hit_schema)
+    search = block_search(k, metric, prepared, exclude_same_id, hit_schema)
 
-    first = _search_cells(placed, queries.mapInArrow(route(True), routed_schema), counts, search)
+    first = search_cells(placed, queries.mapInArrow(route(True), routed_schema), counts, search)
     if len(pivots) == 1:
         return top_k(first, k)
     near = settled(top_k(first, k))
@@ -179,11 +181,11 @@ def knn(
         ).alias("limit"),
     )
     more = queries.join(limits, "query_id", "left").select("query_id", "vec", "limit")
-    second = _search_cells(placed, more.mapInArrow(route(False), routed_schema), counts, search)
+    second = search_cells(placed, more.mapInArrow(route(False), routed_schema), counts, search)
     return top_k(near.drop("rank").unionByName(second), k)
 
 
-def _search_cells(placed, routed, counts, search) -> DataFrame:
+def search_cells(placed, routed, counts, search) -> DataFrame:
     """Search every routed query in its cells, block by block.
 
     A cell's documents and queries are split into blocks by hash, so a cell of any
@@ -218,7 +220,7 @@ def _search_cells(placed, routed, counts, search) -> DataFrame:
     )
 
 
-def _block_search(k, metric, prepared, exclude_same_id, schema):
+def block_search(k, metric, prepared, exclude_same_id, schema):
     def search(docs: pa.Table, queries: pa.Table) -> pa.Table:
         ids = docs.column("id").to_numpy()
         names = queries.column("query_id").to_numpy()
@@ -239,7 +241,8 @@ def _block_search(k, metric, prepared, exclude_same_id, schema):
                 for i, row in enumerate(best):
                     row = row[scores[i, row] > -np.inf]
                     found.append((np.full(len(row), names[start + i]), ids[row], scores[i, row]))
-        columns = [np.concatenate(c) if found else np.array([]) for c in (zip(*found) if found else ((), (), ()))]
+        # without hits plain lists, as an empty array of numbers is no array of strings
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
         return pa.table(
             {
                 "query_id": pa.array(columns[0], type=queries.schema.field("query_id").type),

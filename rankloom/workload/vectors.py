@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankloom.operators.keyword import keyword_search, query_terms
+from rankloom.operators.lsh import BITS, FLIPS, PRECISION, TABLES, hyperplanes, knn_lsh as search_buckets
 from rankloom.operators.rerank import fuse
 from rankloom.operators.vectors import attach_vectors, knn
 from rankloom.workload.tables import (
@@ -55,6 +56,47 @@ KNN_COSINE_SQL = f"WITH {COSINE_SQL} SELECT query_id, id, score, rank FROM {rank
 KNN_L2_SQL = f"WITH {L2_SQL} SELECT query_id, id, score, rank FROM {ranked_sql('l2', 10)}"
 
 
+def knn_lsh(spark, sf_dir):
+    """About the ten most similar vectors of every vector, from the buckets it looks into."""
+    vectors = _vectors(spark, sf_dir)
+    return _ranked(search_buckets(vectors, vectors.withColumnRenamed("id", "query_id"), 10, exclude_same_id=True))
+
+
+WIDTH = 64  # of the given embeddings
+_NORMALS_SQL = ", ".join(
+    f"({k // BITS}, {k % BITS}, {[int(x) for x in row]}::DOUBLE[])"
+    for k, row in enumerate(hyperplanes(TABLES, BITS, WIDTH))
+)
+KNN_LSH_SQL = f"""
+WITH planes(t, b, normal) AS (VALUES {_NORMALS_SQL}),
+sides AS (
+    SELECT vec_id, t, b,
+           list_dot_product(list_transform(embedding, lambda x: floor(x::DOUBLE * {PRECISION})), normal) AS side
+    FROM embeddings CROSS JOIN planes
+),
+near AS (SELECT *, row_number() OVER (PARTITION BY vec_id, t ORDER BY abs(side), b) AS closeness FROM sides),
+codes AS (
+    SELECT vec_id, t, sum(CASE WHEN side >= 0 THEN 1 << b ELSE 0 END)::BIGINT AS code,
+           {", ".join(f"max(CASE WHEN closeness = {k + 1} THEN 1 << b END) AS m{k}" for k in range(FLIPS))}
+    FROM near GROUP BY vec_id, t
+),
+probes AS (
+    SELECT vec_id, t, unnest([{", ".join(
+        "xor(".join([""] * (bin(c).count("1") + 1)) + "code" + "".join(f", m{k})" for k in range(FLIPS) if c >> k & 1)
+        for c in range(1 << FLIPS)
+    )}]) AS code
+    FROM codes
+),
+pairs AS (SELECT DISTINCT p.vec_id AS a, c.vec_id AS b FROM probes p JOIN codes c USING (t, code) WHERE p.vec_id <> c.vec_id),
+close_by AS (
+    SELECT x.vec_id AS query_id, y.vec_id AS id,
+           round(list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 6) AS score
+    FROM pairs JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b
+)
+SELECT query_id, id, score, rank FROM {ranked_sql('close_by', 10)}
+"""
+
+
 def rrf_fusion(spark, sf_dir):
     """Both neighbour lists fused by their ranks."""
     return _ranked(
@@ -113,12 +155,14 @@ SELECT query_id, id, score, rank FROM {ranked_sql('fused', 10)}
 QUERIES = {
     "knn_cosine": knn_cosine,
     "knn_l2": knn_l2,
+    "knn_lsh": knn_lsh,
     "rrf_fusion": rrf_fusion,
     "hybrid_topk": hybrid_topk,
 }
 ORACLE = {
     "knn_cosine": KNN_COSINE_SQL,
     "knn_l2": KNN_L2_SQL,
+    "knn_lsh": KNN_LSH_SQL,
     "rrf_fusion": RRF_SQL,
     "hybrid_topk": HYBRID_SQL,
 }

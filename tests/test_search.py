@@ -325,7 +325,7 @@ def test_run_queries(spark, site):
     )
     pinned = outcome(run_queries(Index(site), asked, "semantic", 2, bets))
     assert pinned[0][0] == (2, None, True) and len(pinned[0]) == 2 and not pinned[0][1][2]
-    with pytest.raises(ValueError, match="unknown mode"):
+    with pytest.raises(ValueError, match="queries run as keyword, semantic or hybrid"):
         run_queries(Index(site), asked, "other")
     with pytest.raises(ValueError, match="hybrid needs"):
         run_queries(Index(site), asked, "hybrid")
