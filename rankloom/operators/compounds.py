@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rankloom.sizing import broadcast_if_small
 
 MIN_PART = 4
 
@@ -40,7 +39,7 @@ def add_parts(terms: DataFrame, parts: DataFrame) -> DataFrame:
     Works on query terms (``query_id, term, weight``); a part that is a term of the
     query already is not added twice.
     """
-    extra = terms.join(broadcast_if_small(parts), "term").select(
+    extra = terms.join(parts, "term").select(
         "query_id", F.col("part").alias("term"), "weight"
     )
     return terms.unionByName(extra).groupBy("query_id", "term").agg(F.max("weight").alias("weight"))
@@ -48,7 +47,7 @@ def add_parts(terms: DataFrame, parts: DataFrame) -> DataFrame:
 
 def posting_parts(postings: DataFrame, parts: DataFrame) -> DataFrame:
     """Postings that also list a document under the parts of its compounds."""
-    extra = postings.join(broadcast_if_small(parts), "term").drop("term").withColumnRenamed("part", "term")
+    extra = postings.join(parts, "term").drop("term").withColumnRenamed("part", "term")
     return (
         postings.unionByName(extra.select(*postings.columns))
         .groupBy("id", "field", "len", "term")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.functions.text import allowed_edits, case_tokens, deletion_keys, tokens
-from rankloom.sizing import broadcast_if_small
 
 
 def one_edit_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -21,7 +20,7 @@ def one_edit_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         F.col("term").alias("match"), F.explode(deletion_keys("term")).alias("key")
     )
     pairs = (
-        right_keys.join(broadcast_if_small(left_keys), "key").select("term", "match").distinct()
+        right_keys.join(left_keys, "key").select("term", "match").distinct()
     )
     return pairs.withColumn("edits", F.levenshtein("term", "match", 1)).where(F.col("edits") >= 0)
 

@@ -8,20 +8,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from rankloom.functions.dates import age_days
 from rankloom.functions.text import tokens
-from rankloom.operators.postings import (
-    WHOLE,
-    document_statistics,
-    document_terms,
-    restrict_terms,
-    term_statistics,
-)
+from rankloom.operators.postings import WHOLE, document_postings, restrict_terms, term_statistics
 from rankloom.session import settled
-from rankloom.sizing import broadcast_if_small, fits_broadcast
 
 K1 = 1.2
 B = 0.75
 SCALE = 6  # decimals kept before ranking, so that ties are ties everywhere
-DOCUMENT_SHARDS = 64
 
 
 def query_terms(queries: DataFrame, text: str = "query", term_of=None) -> DataFrame:
@@ -57,7 +49,7 @@ def weighted_query_terms(
     boost = F.lit(None).cast("double")
     for name, value in weights.items():
         boost = F.when(F.col("field") == name, F.lit(float(value))).otherwise(boost)
-    return terms.join(broadcast_if_small(per_term), "term").select(
+    return terms.join(per_term, "term").select(
         "query_id",
         "field",
         "term",
@@ -67,25 +59,19 @@ def weighted_query_terms(
     )
 
 
-def score_pairs(postings: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
+def score_pairs(postings: DataFrame, terms: DataFrame, placed: bool = False) -> DataFrame:
     """``query_id, id, score, coverage`` of every document with a query term.
 
-    With a small query table the postings stay where they are. Otherwise both
-    sides are shuffled by term and document shard, which spreads the postings of
-    a frequent term evenly over :data:`DOCUMENT_SHARDS` tasks.
+    Postings are brought together by document unless they are ``placed`` so (a bucketed
+    table). Where the query terms are small enough to be broadcast, sums and the first cut
+    of a top-k then need no shuffle of pairs; otherwise the join is by term, and the
+    postings of a frequent term are split by the adaptive join.
 
     ``coverage`` sums weight and idf of the matched terms, without frequencies.
     """
-    if small:
-        joined = postings.join(F.broadcast(terms), ["field", "term"])
-    else:
-        shard = F.pmod(F.xxhash64("id"), F.lit(DOCUMENT_SHARDS)).alias("shard")
-        shards = F.sequence(F.lit(0), F.lit(DOCUMENT_SHARDS - 1)).cast("array<bigint>")
-        joined = postings.select("*", shard).join(
-            terms.select("*", F.explode(shards).alias("shard")), ["field", "term", "shard"]
-        )
+    rows = postings if placed else postings.repartition("id")
     gain = F.col("weight") * F.col("idf")
-    return joined.groupBy("query_id", "id").agg(
+    return rows.join(terms, ["field", "term"]).groupBy("query_id", "id").agg(
         F.sum(gain * bm25_gain(F.col("tf"), F.col("len"), F.col("mean_len"))).alias("score"),
         F.sum(gain).alias("coverage"),
     )
@@ -109,7 +95,6 @@ def keyword_search(
     weights: Mapping[str, float] | None = None,
     id_col: str = "id",
     term_of=None,
-    placed: bool = False,
     adjust: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Best documents per query: ``query_id, id, score, coverage, rank``.
@@ -117,17 +102,14 @@ def keyword_search(
     ``terms`` is the output of :func:`query_terms` or an expansion of it. ``adjust``
     maps the scored pairs to scored pairs, for example to favour fresh documents.
     ``top=None`` returns all scored pairs without a rank.
+
+    The documents are read once: the postings of the asked words are kept as a table
+    that gives the statistics and the scores.
     """
-    small = fits_broadcast(terms)
-    wanted = _asked_words(terms) if small else None
-    statistics = document_statistics(docs, fields, wanted, term_of)
-    postings = (
-        restrict_terms(document_terms(docs, fields, id_col, term_of, placed), wanted)
-        .groupBy("id", "field", "len", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    terms = settled(terms)
+    postings = settled(document_postings(docs, fields, id_col, term_of, _asked_words(terms)))
     weights = weights or {name: 1.0 for name in fields}
-    return _search(postings, terms, statistics, top, weights, adjust, small)
+    return _search(postings, terms, top, weights, adjust, False)
 
 
 def search_postings(
@@ -136,24 +118,25 @@ def search_postings(
     top: int | None = 10,
     weights: Mapping[str, float] | None = None,
     adjust: Callable[[DataFrame], DataFrame] | None = None,
-    small: bool | None = None,
+    placed: bool = False,
 ) -> DataFrame:
-    """:func:`keyword_search` over postings that exist already."""
-    small = fits_broadcast(terms) if small is None else small
-    postings = restrict_terms(postings, _asked_words(terms) if small else None)
-    return _search(postings, terms, term_statistics(postings), top, weights, adjust, small)
+    """:func:`keyword_search` over postings that exist already.
+
+    ``placed`` says that they are laid out by document.
+    """
+    return _search(restrict_terms(postings, _asked_words(terms)), terms, top, weights, adjust, placed)
 
 
 def _asked_words(terms: DataFrame) -> DataFrame:
-    """The words of a small query table and the empty term, to broadcast."""
-    whole = terms.select(F.lit(WHOLE).alias("term")).limit(1)
-    return F.broadcast(terms.select("term").distinct().union(whole))
+    """The words of a query table and the empty term."""
+    whole = terms.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))
+    return terms.select("term").distinct().union(whole)
 
 
-def _search(postings, terms, statistics, top, weights, adjust, small) -> DataFrame:
-    # Settled, because each use would read the documents again.
-    weighted = weighted_query_terms(terms, settled(statistics), weights)
-    scored = score_pairs(postings, weighted, small)
+def _search(postings, terms, top, weights, adjust, placed) -> DataFrame:
+    # Settled, so that the join knows the size of the query side.
+    weighted = settled(weighted_query_terms(terms, term_statistics(postings), weights))
+    scored = score_pairs(postings, weighted, placed)
     if adjust is not None:
         scored = adjust(scored)
     scored = scored.withColumn("score", F.round("score", SCALE))
@@ -205,8 +188,8 @@ def freshness_boost(
 def project_results(ranked: DataFrame, docs: DataFrame, id_col: str = "id") -> DataFrame:
     """Result rows with ``title`` and ``url`` of their document added.
 
-    ``ranked`` should be settled: it is measured first, and broadcast when small so
-    that the document table is read in place.
+    ``ranked`` should be settled: Spark then knows its size and reads the document table in
+    place when it is small.
     """
     shown = docs.select(F.col(id_col).alias("id"), "title", "url")
-    return shown.join(broadcast_if_small(ranked), "id").withColumn("curated", F.lit(False))
+    return shown.join(ranked, "id").withColumn("curated", F.lit(False))

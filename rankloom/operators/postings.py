@@ -1,8 +1,8 @@
-"""Term postings, laid out by document.
+"""Term postings of documents.
 
-All postings of a document live in one partition. Scoring a broadcast query table
-then needs no shuffle for (query, document) pairs: sums and the first part of the
-top-k happen where the document is, and only k rows per query and partition move.
+Texts are read once and never shuffled: tokens are counted in the task that reads
+them, and only the counts of a document's terms move. A table of postings that is laid
+out by document (see :func:`save_postings`) is searched without any shuffle of pairs.
 
 Every document carries one posting of the empty term per field, so one pass over
 the postings gives document frequencies, the number of documents and the total
@@ -25,30 +25,27 @@ def document_postings(
     fields: Mapping[str, Column | str],
     id_col: str = "id",
     term_of: Callable[[Column], Column] | None = None,
-    placed: bool = False,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per ``id, field, term`` with term frequency and field length.
 
     ``fields`` maps a field name to its text; ``term_of`` rewrites a token, for
-    example to its stem. ``placed`` says that the table already is partitioned by
-    id (a bucketed table), which saves the shuffle of the texts.
+    example to its stem. With ``wanted(term)`` only postings of these terms are made.
     """
     return (
-        document_terms(docs, fields, id_col, term_of, placed)
+        restrict_terms(document_terms(docs, fields, id_col, term_of), wanted)
         .groupBy("id", "field", "len", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
-def document_terms(docs, fields, id_col="id", term_of=None, placed=False) -> DataFrame:
+def document_terms(docs, fields, id_col="id", term_of=None) -> DataFrame:
     """One row per token occurrence: ``id, field, len, term``."""
     base = docs.select(
         F.col(id_col).alias("id"), *[_col(v).alias(f"_{name}") for name, v in fields.items()]
     )
-    if not placed:
-        base = base.repartition("id")
     # explode_outer: the arrays are never empty, and the plain explode would
-    # tokenise a second time in a filter below the shuffle.
+    # tokenise a second time in a filter below.
     with_whole = {
         name: F.concat(tokens(f"_{name}"), F.array(F.lit(WHOLE))) for name in fields
     }
@@ -76,11 +73,7 @@ def document_terms(docs, fields, id_col="id", term_of=None, placed=False) -> Dat
 
 
 def restrict_terms(terms: DataFrame, vocabulary: DataFrame | None) -> DataFrame:
-    """Only rows of the given terms; all rows where no vocabulary is given.
-
-    ``vocabulary(term)`` carries a broadcast hint. One too large for that is better
-    left out: shuffling by term would send a frequent term to one task.
-    """
+    """Only rows of the given terms; all rows where no ``vocabulary(term)`` is given."""
     return terms if vocabulary is None else terms.join(vocabulary, "term", "left_semi")
 
 
@@ -91,33 +84,6 @@ def term_statistics(postings: DataFrame) -> DataFrame:
     )
 
 
-def document_statistics(docs, fields, wanted: DataFrame | None, term_of=None) -> DataFrame:
-    """:func:`term_statistics` of the ``wanted`` terms straight from the documents.
-
-    A document's terms are made distinct in its row, so the texts are not shuffled
-    and a frequent term adds one row per map task.
-    """
-
-    def distinct_terms(text):
-        words = tokens(text)
-        if term_of is not None:
-            words = F.transform(words, term_of)
-        return F.array_distinct(F.concat(words, F.array(F.lit(WHOLE))))
-
-    per_field = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("field"), F.size(tokens(text)).alias("len"), distinct_terms(text).alias("terms")
-            )
-            for name, text in fields.items()
-        ]
-    )
-    terms = docs.select(F.inline_outer(per_field)).select(
-        "field", "len", F.explode_outer("terms").alias("term")
-    )
-    return term_statistics(restrict_terms(terms, wanted))
-
-
 def vocabulary(docs: DataFrame, fields, id_col: str = "id", term_of=None) -> DataFrame:
     """Distinct terms with the number of documents that hold them: ``term, df``.
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from rankloom.functions.text import _col, allowed_edits, tokens
 from rankloom.operators.fuzzy import one_edit_pairs
-from rankloom.sizing import broadcast_if_small
 
 NO_CONTEXT = ""
 
@@ -95,7 +94,7 @@ def autocomplete(
         .join(forms.withColumnRenamed("term", "asked"), "asked")
         .select("context", "asked", F.col("match").alias("start"), "edits")
     )
-    needed = broadcast_if_small(asked.select("context", "start").distinct())
+    needed = asked.select("context", "start").distinct()
     best_of_start = W.partitionBy("context", "start").orderBy(F.col("df").desc(), "term")
     completions = (
         units.select("context", "term", "df", F.explode(_prefixes("term")).alias("start"))
@@ -149,7 +148,7 @@ def did_you_mean(
         near = near_forms(part.select("term").distinct(), known, fuzzy)
         return part.join(near, "term").select("prefix_id", "pos", "kind", F.col("match").alias("form"), "edits")
 
-    matches = broadcast_if_small(forms("word", vocabulary).unionByName(forms("start", beginnings)))
+    matches = forms("word", vocabulary).unionByName(forms("start", beginnings))
     # As in the postings, all rows of a document share a partition, and pairs of
     # prefix and document are summed and cut to the top where they arise.
     placed = docs.select(F.col(id_col).alias("id"), all_words.alias("words")).repartition("id")

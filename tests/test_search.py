@@ -34,7 +34,7 @@ from rankloom.operators.suggest import autocomplete, did_you_mean, suggestion_ro
 from rankloom.operators.synonyms import expand_queries, rule_statistics, rule_violations
 from rankloom.operators.vectors import knn
 from rankloom.plans.search import Index, run_queries
-from rankloom.sizing import broadcast_if_small, fits_broadcast
+from rankloom.session import settled
 from rankloom.sources.best_bets import bet_keys, parse_best_bets, read_best_bets
 from rankloom.sources.profiles import DEFAULT_PROFILE, read_profiles
 from rankloom.sources.synonym_files import read_rules
@@ -90,28 +90,30 @@ def test_bm25_against_brute_force(spark, corpus):
 
 def test_large_query_tables_score_the_same(spark, corpus):
     docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
-    postings = document_postings(docs, {"body": "body"})
-    small = search_postings(postings, terms, 10, {"body": 1.0}, small=True)
-    large = search_postings(postings, terms, 10, {"body": 1.0}, small=False)
     rows = lambda df: sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in df.collect())
-    assert rows(small) == rows(large)
+    expected = rows(keyword_search(docs, terms, {"body": "body"}, 10))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(keyword_search(docs, terms, {"body": "body"}, 10)) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_search_without_broadcasts(spark, monkeypatch, corpus):
-    """With a bound of no rows nothing is broadcast by hint; the result is the same."""
-    docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
-    rows = lambda df: sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in df.collect())
-    expected = rows(keyword_search(docs, terms, {"body": "body"}, 10))
-    monkeypatch.setattr(keyword, "fits_broadcast", lambda *_: False)
-    monkeypatch.setattr(keyword, "broadcast_if_small", lambda df: df)
-    assert rows(keyword_search(docs, terms, {"body": "body"}, 10)) == expected
+def test_texts_are_read_once_and_not_shuffled(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    made = document_postings(docs, {"body": "text"}, "doc_id", wanted=docs.select(F.lit("x").alias("term")).distinct())
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("text:string") == 1
+    moved = [line for line in plan.splitlines() if "Exchange" in line or "Sort " in line]
+    assert moved and not any("text#" in line or "toks#" in line for line in moved)
 
 
 def test_no_shuffle_between_document_and_pair_sums(spark, corpus):
     docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
     postings = document_postings(docs, {"body": "body"})
-    weighted = weighted_query_terms(terms, term_statistics(postings), {"body": 1.0})
-    ranked = top_k(score_pairs(postings, weighted, True), 3)
+    weighted = settled(weighted_query_terms(terms, term_statistics(postings), {"body": 1.0}))
+    ranked = top_k(score_pairs(postings, weighted), 3)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     head = plan[: plan.index("BroadcastHashJoin")]
     assert head.count("Exchange hashpartitioning") == 1  # the one by query, after the first cut
@@ -122,12 +124,12 @@ def test_saved_postings_need_no_shuffle(spark, corpus, tmp_path):
     docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
     save_postings(document_postings(docs, {"body": "body"}), "saved_postings", str(tmp_path / "p"), 4)
     stored = load_postings(spark, "saved_postings")
-    weighted = weighted_query_terms(terms, term_statistics(stored), {"body": 1.0})
-    scored = score_pairs(stored, weighted, True)
+    weighted = settled(weighted_query_terms(terms, term_statistics(stored), {"body": 1.0}))
+    scored = score_pairs(stored, weighted, placed=True)
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan[: plan.index("BroadcastHashJoin")]
     direct = keyword_search(docs, terms, {"body": "body"}, 5)
-    again = search_postings(stored, terms, 5, {"body": 1.0})
+    again = search_postings(stored, terms, 5, {"body": 1.0}, placed=True)
     assert sorted(map(tuple, direct.select("query_id", "id", "score", "rank").collect())) == sorted(
         map(tuple, again.select("query_id", "id", "score", "rank").collect())
     )
@@ -389,12 +391,6 @@ def test_facets_filters_order(spark, site):
         filter_documents(site, {"title": "x"})
 
 
-def test_broadcast_is_measured(spark):
-    df = spark.range(100).select(F.repeat(F.lit("x"), 100).alias("x"))
-    assert fits_broadcast(df) and not fits_broadcast(df, max_rows=99) and not fits_broadcast(df, max_bytes=5000)
-    assert broadcast_if_small(df, max_rows=1) is df
-
-
 def test_profiles(tmp_path):
     path = tmp_path / "p.json"
     path.write_text(json.dumps({"profiles": [{"name": "n", "freshness": {"field": "lastModified"}}], "default_profile": "n"}))
