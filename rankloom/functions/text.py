@@ -116,6 +116,10 @@ def allowed_edits(token, min_len: int = 4, max_edits: int = 1) -> Column:
     return F.when(upper | digit, F.lit(0)).when(alphabetic, F.lit(max_edits)).otherwise(F.lit(0))
 
 
+# Words up to this length are compared by all their deletions, longer ones by their halves.
+SHORT_WORD = 10
+
+
 def deletion_keys(term) -> Column:
     """The term and every form of it with one character removed.
 
@@ -129,6 +133,63 @@ def deletion_keys(term) -> Column:
     return F.array_distinct(F.concat(F.array(term), shorter))
 
 
+def _halves(term: Column, length: Column) -> list[Column]:
+    """The first half of a word of ``length`` characters if ``term`` begins with it, and the second if it ends with it."""
+    half = F.floor(length / 2).cast("int")
+    named = lambda kind, part: F.concat_ws(" ", F.lit(kind), length.cast("string"), part)
+    return [named("begin", F.substr(term, F.lit(1), half)), named("end", F.right(term, length - half))]
+
+
+def one_edit_keys(term, probing: bool) -> Column:
+    """Keys of which two terms at Levenshtein distance at most one share one, one of them ``probing``.
+
+    An edit leaves one half of a word as it is. So a word has a key for each of its halves
+    and is looked up by the halves that words of its own length, one less and one more
+    would have: eight keys at most, however long the word. Halves of short words say
+    little; these have a key for every deleted character (words of a length in between
+    have both, so any two that may be one edit apart share a kind).
+    """
+    term = _col(term)
+    length = F.length(term)
+    lengths = (-1, 0, 1) if probing else (0,)
+    halves = F.array(*(key for d in lengths for key in _halves(term, length + d)))
+    none = F.array().cast("array<string>")
+    deletions = F.transform(deletion_keys(term), lambda k: F.concat(F.lit("short "), k))
+    return F.concat(
+        F.when(length <= SHORT_WORD + 1, deletions).otherwise(none),
+        F.when(length >= SHORT_WORD, halves).otherwise(none),
+    )
+
+
+# Spark's levenshtein walks a long word anew for every character.
+_LONG_WORD = 64
+
+
+def edits_up_to_one(a, b) -> Column:
+    """0 for equal terms, 1 for terms one edit apart, else -1.
+
+    What long terms have in common at their start is found by halving; behind the first
+    difference and the edit there, the rest must be equal.
+    """
+    a, b = _col(a), _col(b)
+    n, m = F.length(a), F.length(b)
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.ceil((s["least"] + s["most"]) / 2).cast("int")
+        same = F.substr(a, F.lit(1), middle) == F.substr(b, F.lit(1), middle)
+        closer = F.struct(
+            F.when(same, middle).otherwise(s["least"]).alias("least"),
+            F.when(same, s["most"]).otherwise(middle - 1).alias("most"),
+        )
+        return F.when(s["least"] >= s["most"], s).otherwise(closer)
+
+    start = F.struct(F.lit(0).alias("least"), F.least(n, m).alias("most"))
+    shared = F.aggregate(F.sequence(F.lit(0), F.lit(31)), start, halve, lambda s: s["least"])
+    rest = F.substr(a, shared + F.when(n >= m, 2).otherwise(1)) == F.substr(b, shared + F.when(m >= n, 2).otherwise(1))
+    long = F.when(a == b, 0).when((F.abs(n - m) <= 1) & rest, 1).otherwise(-1)
+    return F.when(F.greatest(n, m) <= _LONG_WORD, F.levenshtein(a, b, 1)).otherwise(long)
+
+
 def split_list(text, delimiters: str) -> Column:
     """Parts between any of the delimiter characters, trimmed, empties dropped."""
     tight = F.regexp_replace(

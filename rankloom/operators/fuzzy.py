@@ -4,25 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rankloom.functions.text import allowed_edits, case_tokens, deletion_keys, tokens
+from rankloom.functions.text import allowed_edits, case_tokens, edits_up_to_one, one_edit_keys, tokens
 
 
 def one_edit_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """``term, match, edits`` for all pairs of ``left(term)`` and ``right(term)`` that
     are at most one edit apart.
 
-    Both sides hold distinct terms. They meet on shared deletion keys, whose
-    groups stay small because only that many words differ in one letter; the
-    distance is then verified.
+    Both sides hold distinct terms. They meet on shared keys (see
+    :func:`rankloom.functions.text.one_edit_keys`), whose size grows with the length of
+    the words and not its square; the distance is then verified.
     """
-    left_keys = left.select("term", F.explode(deletion_keys("term")).alias("key"))
-    right_keys = right.select(
-        F.col("term").alias("match"), F.explode(deletion_keys("term")).alias("key")
-    )
-    pairs = (
-        right_keys.join(left_keys, "key").select("term", "match").distinct()
-    )
-    return pairs.withColumn("edits", F.levenshtein("term", "match", 1)).where(F.col("edits") >= 0)
+    left_keys = left.select("term", F.explode(one_edit_keys("term", probing=True)).alias("key"))
+    right_keys = right.select(F.col("term").alias("match"), F.explode(one_edit_keys("term", probing=False)).alias("key"))
+    pairs = right_keys.join(left_keys, "key").select("term", "match").distinct()
+    return pairs.withColumn("edits", edits_up_to_one("term", "match")).where(F.col("edits") >= 0)
 
 
 def fuzzy_query_tokens(queries: DataFrame, text: str = "query") -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.operators.metrics import config_metrics, query_metrics
-from rankloom.plans.search import Index, run_queries
+from rankloom.plans.search import FirstStage, Index, run_queries
 from rankloom.session import settled
 
 
@@ -37,12 +37,16 @@ def evaluate(
     bets: DataFrame | None = None,
     query_vectors: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Metrics per configuration and per query; best bets count only when given."""
-    queries = judged_queries(judgments)
+    """Metrics per configuration and per query; best bets count only when given.
+
+    The configurations of a variant share its keyword ranking and its fuzzy retry.
+    """
+    queries = settled(judged_queries(judgments))
+    stages = {c.variant: FirstStage(indexes[c.variant], queries, top) for c in configs}
     results = None
     for config in configs:
         rows = run_queries(
-            indexes[config.variant], queries, config.mode, top, bets, query_vectors
+            indexes[config.variant], queries, config.mode, top, bets, query_vectors, stage=stages[config.variant]
         ).select(F.lit(config.name).alias("config"), F.col("query_id").alias("query"), "id", "url", "rank")
         results = rows if results is None else results.unionByName(rows)
     names = [c.name for c in configs]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -97,34 +98,54 @@ class Index:
         )
 
 
+class FirstStage:
+    """What the modes of one index share: the keyword ranking and the fuzzy retry of a query table.
+
+    Both are computed when first asked for and kept as tables. The ranking is as deep as
+    the deepest mode needs, so a shorter one is its beginning.
+    """
+
+    def __init__(self, index: Index, queries: DataFrame, top: int):
+        self.index, self.queries, self.top = index, queries, top
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        return settled(self.index.search(self.index.terms(self.queries), max(self.top, RERANK_DEPTH)))
+
+    @cached_property
+    def retry(self) -> DataFrame | None:
+        """Rows of the fuzzy search for the queries without a row; none when all have some."""
+        empty = without_results(self.queries, self.ranked)
+        if empty.isEmpty():
+            return None
+        words = vocabulary(self.index.docs, self.index.fields)
+        terms = self.index.analysed(fuzzy_query_terms(empty, words))
+        found = self.index.search(terms, self.top).withColumn("reranker_score", F.lit(None).cast("double"))
+        return settled(found.select(*RANKED))
+
+
+RANKED = ["query_id", "id", "score", "reranker_score", "rank"]
+
+
 def base_results(
-    index: Index,
-    queries: DataFrame,
-    mode: str,
-    top: int,
-    query_vectors: DataFrame | None = None,
-    scorer: Column | None = None,
+    stage: FirstStage, mode: str, query_vectors: DataFrame | None = None, scorer: Column | None = None
 ) -> DataFrame:
     """Rows of one retrieval mode before fallback and pinning."""
     scorer = term_coverage() if scorer is None else scorer
     if mode == "keyword":
-        return index.search(index.terms(queries), top).withColumn(
-            "reranker_score", F.lit(None).cast("double")
-        )
-    if mode == "semantic":
-        first = index.search(index.terms(queries), max(top, RERANK_DEPTH))
-        return rerank(first, scorer).where(F.col("rank") <= top)
-    if mode == "hybrid":
-        if index.vectors is None or query_vectors is None:
+        found = stage.ranked.withColumn("reranker_score", F.lit(None).cast("double"))
+    elif mode == "semantic":
+        found = rerank(stage.ranked, scorer)
+    elif mode == "hybrid":
+        if stage.index.vectors is None or query_vectors is None:
             raise ValueError("hybrid needs vectors of documents and queries")
-        by_words = index.search(index.terms(queries), max(top, RERANK_DEPTH))
-        by_vector = knn(index.vectors, query_vectors, top)
-        fused = fuse([by_words, by_vector], max(top, RERANK_DEPTH))
-        coverage = by_words.select("query_id", "id", "coverage")
-        return rerank(fused.join(coverage, ["query_id", "id"], "left"), scorer).where(
-            F.col("rank") <= top
-        )
-    raise ValueError(f"queries run as keyword, semantic or hybrid, not as {mode!r}")
+        by_vector = knn(stage.index.vectors, query_vectors, stage.top)
+        fused = fuse([stage.ranked, by_vector], max(stage.top, RERANK_DEPTH))
+        coverage = stage.ranked.select("query_id", "id", "coverage")
+        found = rerank(fused.join(coverage, ["query_id", "id"], "left"), scorer)
+    else:
+        raise ValueError(f"queries run as keyword, semantic or hybrid, not as {mode!r}")
+    return found.where(F.col("rank") <= stage.top)
 
 
 def run_queries(
@@ -135,25 +156,18 @@ def run_queries(
     bets: DataFrame | None = None,
     query_vectors: DataFrame | None = None,
     scorer: Column | None = None,
+    stage: FirstStage | None = None,
 ) -> DataFrame:
     """Final rows of every query: base, fuzzy retry, pinned page, cap.
 
     ``queries`` holds ``query_id, query``; ``bets`` are keyed best bets, or none to
     leave curation out. The fuzzy retry serves keyword and semantic queries that
-    found nothing.
+    found nothing. Several modes of one index share a ``stage``.
     """
     mode = mode.lower()
-    columns = ["query_id", "id", "score", "reranker_score", "rank"]
-    rows = settled(base_results(index, queries, mode, top, query_vectors, scorer).select(*columns))
-    retry = None
-    if mode in ("keyword", "semantic"):
-        empty = without_results(queries, rows)
-        if not empty.isEmpty():
-            words = vocabulary(index.docs, index.fields)
-            retry = index.search(index.analysed(fuzzy_query_terms(empty, words)), top)
-            retry = settled(
-                retry.withColumn("reranker_score", F.lit(None).cast("double")).select(*columns)
-            )
+    stage = FirstStage(index, queries, top) if stage is None else stage
+    rows = settled(base_results(stage, mode, query_vectors, scorer).select(*RANKED))
+    retry = stage.retry if mode in ("keyword", "semantic") else None
     shown = project_results(with_fallback(rows, retry), index.docs)
     if bets is None:
         return shown.withColumn("note", F.lit(None).cast("string"))

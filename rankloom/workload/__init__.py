@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rankloom.workload import content, curation, evaluation, logs, retrieval, suggestions, vectors
+from rankloom.workload import content, curation, evaluation, logs, modes, retrieval, suggestions, vectors
 
-_MODULES = (content, retrieval, vectors, curation, suggestions, evaluation, logs)
+_MODULES = (content, retrieval, vectors, curation, suggestions, evaluation, modes, logs)
 
 
 def queries() -> dict:

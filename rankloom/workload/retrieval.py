@@ -140,15 +140,15 @@ def stemmed_topk(spark, sf_dir):
     )
 
 
-def _stem_sql(term):
+def stem_sql(term):
     return f"regexp_replace({term}, '^(.{{4,}}?)(?:ings|ing|ed|es|s)$', '\\1')"
 
 
 STEMMED_SQL = f"""
 WITH {bm25_sql(
     "documents", "doc_id", {"body": ("text", 1.0)},
-    f"SELECT query_id, {_stem_sql('term')} AS term, sum(weight) AS weight FROM ({PASSAGE_TERMS_SQL}) GROUP BY ALL",
-    _stem_sql("term"),
+    f"SELECT query_id, {stem_sql('term')} AS term, sum(weight) AS weight FROM ({PASSAGE_TERMS_SQL}) GROUP BY ALL",
+    stem_sql("term"),
 )}
 SELECT query_id, id, score, rank FROM {ranked_sql("scored", 10)}
 """

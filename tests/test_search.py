@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankloom.operators import keyword, vectors
+from rankloom.functions import text
+from rankloom.operators import vectors
 from rankloom.operators.compounds import compound_parts
 from rankloom.operators.curation import match_best_bets, pin
 from rankloom.operators.facets import facet_counts, filter_documents, newest_first
@@ -191,6 +192,43 @@ def test_knn_against_brute_force(spark, monkeypatch, metric, cells):
         np.testing.assert_allclose([g[1] for g in got[i]], scores[best], atol=2e-6)
 
 
+def edits_up_to_one(a, b):
+    """0 or 1 when one edit or none turns ``a`` into ``b``, else None."""
+    if a == b:
+        return 0
+    if len(a) == len(b):
+        return 1 if sum(x != y for x, y in zip(a, b)) == 1 else None
+    short, long = sorted((a, b), key=len)
+    return 1 if len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long))) else None
+
+
+@pytest.mark.parametrize("long_word", [64, -1])
+def test_one_edit_of_words_of_all_lengths(spark, monkeypatch, long_word):
+    monkeypatch.setattr(text, "_LONG_WORD", long_word)
+    rng = random.Random(3)
+    words = {"", "a", "b", "é"}
+    for length in range(1, 16):
+        for _ in range(12):
+            words.add("".join(rng.choice("abé") for _ in range(length)))
+    for word in list(words)[:60]:  # neighbours on both sides of the limit of short words
+        at = rng.randrange(len(word) + 1)
+        words |= {word[:at] + "c" + word[at:], word[:at] + word[at + 1 :], word[:at] + "c" + word[at + 1 :]}
+    words = sorted(words)
+    table = spark.createDataFrame([(w,) for w in words], "term string")
+    got = {(r["term"], r["match"]): r["edits"] for r in one_edit_pairs(table, table).collect()}
+    wanted = {(a, b): e for a in words for b in words if (e := edits_up_to_one(a, b)) is not None}
+    assert got == wanted
+
+
+def test_one_edit_of_a_very_long_word(spark):
+    long = "".join(random.Random(1).choice("abcdefgh") for _ in range(100_000))
+    known = [long, long[:50_000] + "x" + long[50_000:], long[1:], long[:-1] + "z", long[::-1]]
+    table = spark.createDataFrame([(w,) for w in known], "term string")
+    asked = spark.createDataFrame([(long,)], "term string")
+    got = {r["match"]: r["edits"] for r in one_edit_pairs(asked, table).collect()}
+    assert got == {known[0]: 0, known[1]: 1, known[2]: 1, known[3]: 1}
+
+
 def test_one_edit(spark):
     words = ["huis", "huid", "huisje", "uis", "thuis", "hius", "é", ""]
     table = spark.createDataFrame([(w,) for w in words], "term string")
