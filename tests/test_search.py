@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rankloom.functions import text
@@ -37,7 +38,7 @@ from rankloom.operators.vectors import knn
 from rankloom.plans.search import Index, run_queries
 from rankloom.session import settled
 from rankloom.sources.best_bets import bet_keys, parse_best_bets, read_best_bets
-from rankloom.sources.profiles import DEFAULT_PROFILE, read_profiles
+from rankloom.sources.profiles import DEFAULT_PROFILE, Freshness, load_profile
 from rankloom.sources.synonym_files import read_rules
 
 
@@ -429,10 +430,21 @@ def test_facets_filters_order(spark, site):
         filter_documents(site, {"title": "x"})
 
 
-def test_profiles(tmp_path):
+def test_profiles(spark, tmp_path):
     path = tmp_path / "p.json"
-    path.write_text(json.dumps({"profiles": [{"name": "n", "freshness": {"field": "lastModified"}}], "default_profile": "n"}))
-    profiles, default = read_profiles(str(path))
-    fresh = profiles[default].freshness
-    assert (fresh.boost, fresh.duration_days, fresh.interpolation) == (2.0, 365, "quadratic")
-    assert read_profiles(str(tmp_path / "none")) == ({}, None)
+    weights = {"title": 3, "body": 1.5}
+    path.write_text(
+        json.dumps(
+            {
+                "profiles": [{"name": "n", "freshness": {"field": "lastModified"}}, {"name": "w", "text_weights": weights, "description": "x"}],
+                "default_profile": "n",
+            }
+        )
+    )
+    assert load_profile(spark, str(path)).freshness == Freshness("lastModified", 2.0, 365, "quadratic")
+    assert load_profile(spark, str(path), "w").weights == {"title": 3.0, "body": 1.5}
+    assert load_profile(spark, str(path), "w").freshness is None
+    with pytest.raises(ValueError, match="no profiles"):
+        load_profile(spark, str(path), "x")
+    with pytest.raises(AnalysisException):
+        load_profile(spark, str(tmp_path / "none"))
