@@ -1,7 +1,10 @@
 """A training corpus from raw documents: filter, deduplicate, decontaminate, mix and shard.
 
 Every stage works on all rows its predecessor kept and is written as Parquet before
-the next one reads it, so a lost executor repeats at most one stage's tasks.
+the next one reads it, so a lost executor repeats at most one stage's tasks. Rows keep
+their columns, whatever these are called, up to the last stage. Null and empty texts have no words, so
+the quality rules drop them; null ids, repeated rows and empty tables go through every
+stage as its operator says.
 """
 
 from __future__ import annotations
@@ -45,8 +48,9 @@ STAGES = [
     ("hilbert_sharding", hilbert_sharding),
 ]
 
-# The fitted classifier and rates can't be expressed in SQL; tests hold the stages
-# against brute-force versions.
+# The fitted classifier and rates can't be expressed in SQL. Tests hold near duplicates and
+# decontamination against brute force, the mixture against the copies drawn; the SQL of
+# op6 covers the quality rules.
 ORACLE_SQL = None
 
 

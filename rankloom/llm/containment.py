@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.llm.bytework import distinct_by_row, mixed, parts, shingles
+from rankloom.llm.packing import packed, unpacked
 from rankloom.session import stored
 
 PERCENT = 80
@@ -126,11 +127,13 @@ def contaminations(
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that contain no item, with their own columns."""
-    found = contaminations(docs, benchmark, percent, id_col, text_col).select(
-        F.col("doc_id").alias("_found_id"), F.col("text_hash").alias("_found_hash")
-    )
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_found_id")) & (
-        F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_found_hash")
-    )
-    return docs.join(found.distinct(), same, "left_anti")
+    """The rows of ``docs`` that contain no item, with their own columns, whatever their names.
+
+    Null and empty texts contain nothing and stay; of rows that share an id, or have none,
+    each is judged by its own text; repeated rows stay or go together. An empty benchmark
+    keeps everything.
+    """
+    found = contaminations(docs, benchmark, percent, id_col, text_col)
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct()
+    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
+    return unpacked(packed(docs, id_col, text_col).join(found, same, "left_anti"))

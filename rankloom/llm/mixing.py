@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rankloom.llm.bytework import mixed, parts, prefix_hashes, slice_hashes, words, _LOWER_CODES
+from rankloom.llm.packing import packed, unpacked
 from rankloom.session import stored
 
 DOMAINS = ("good", "poor", "toxic")
@@ -242,9 +243,13 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARG
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with their own columns, as often as their copies say."""
+    """The rows of ``docs``, with their own columns, whatever their names, as often as their copies say.
+
+    Rows of equal id and text have equal copies, so repeated rows are repeated alike;
+    null ids and null texts are documents like others.
+    """
     drawn = mixture(docs, labels, targets, id_col, text_col).filter("copies > 0")
-    times = drawn.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("copies").alias("_copies")).distinct()
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_hash"))
-    joined = docs.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns))
+    times = drawn.select(F.col("doc_id").alias("drawn_id"), F.col("text_hash").alias("drawn_hash"), "copies").distinct()
+    same = F.col("id").eqNullSafe(F.col("drawn_id")) & (F.col("text_hash") == F.col("drawn_hash"))
+    joined = packed(docs, id_col, text_col).join(times, same)
+    return unpacked(joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rankloom.llm.bytework import distinct_by_row, mixed, parts, shingles
 from rankloom.llm.components import connected_components
+from rankloom.llm.packing import packed, unpacked
 from rankloom.session import stored
 
 PERCENT = 80
@@ -407,6 +408,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, with their own columns."""
-    kept = jaccard_components(docs, id_col, text_col).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    """The rows of ``docs`` whose id is the smallest of their component, with their own columns, whatever their names.
+
+    Null and empty texts link with nothing and stay. All rows of an id stay or go
+    together, so repeated rows do too; rows without an id are one document, smaller than
+    all others.
+    """
+    kept = jaccard_components(docs, id_col, text_col).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept")).distinct()
+    rows = packed(docs, id_col, text_col)
+    return unpacked(rows.join(kept, F.col("id").eqNullSafe(F.col("kept")), "left_semi"))

@@ -143,10 +143,16 @@ def shard_extents(placed: DataFrame, *dimensions: str) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write ``docs`` below ``path`` in one folder per shard, in slot order.
+    """Write ``docs`` below ``path`` in one folder ``shard=<n>`` per shard, in slot order.
 
-    ``placed`` is what :func:`hilbert_shards` returned for them; ids must be unique.
+    ``placed`` is what :func:`hilbert_shards` returned for them. Ids must be unique and not
+    null: a place names its row by its id. Files hold the columns of ``docs`` but one named
+    ``shard``, which is an error, as the folders are named so.
     """
-    places = placed.select(F.col("doc_id").alias(id_col), "shard", "slot")
-    rows = docs.join(places, id_col).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-    rows.drop("slot").write.partitionBy("shard").parquet(path)
+    if "shard" in (c.lower() for c in docs.columns):
+        raise ValueError("the documents have a column named shard already")
+    columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(columns.alias("row"), F.col(f"`{id_col}`").alias("id"))
+    places = placed.select(F.col("doc_id").alias("id"), F.col("shard").alias("place"), "slot")
+    ordered = rows.join(places, "id").repartitionByRange("place", "slot").sortWithinPartitions("place", "slot")
+    ordered.select("row.*", F.col("place").alias("shard")).write.partitionBy("shard").parquet(path)
