@@ -5,28 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rankloom.functions.text import tokens
+from rankloom.session import settled
 
 MAX_CLUSTER = 8
 
 
+def _lowered(terms) -> Column:
+    return F.transform(terms, lambda t: F.lower(t))
+
+
 def trigger_overlaps(rules: DataFrame) -> DataFrame:
     """``file, term, line_no`` for every trigger that stands on more than one line.
 
     Triggers are compared in lower case; repeats on one line do not count and the
     right-hand side is exempt.
     """
-    triggers = (
-        rules.select("file", F.explode_outer("left").alias("term"), "line_no")
-        .select("file", F.lower("term").alias("term"), "line_no")
-        .distinct()
-    )
+    triggers = rules.select("file", "line_no", F.explode_outer(F.array_distinct(_lowered("left"))).alias("term")).distinct()
     repeated = (
         triggers.groupBy("file", "term")
         .agg(F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"))
         .where(F.col("first_line") < F.col("last_line"))
         .select("file", "term")
     )
-    return triggers.join(repeated, ["file", "term"], "left_semi")
+    return triggers.join(repeated, ["file", "term"], "left_semi").select("file", "term", "line_no")
 
 
 def _rule_checks(max_cluster: int) -> dict[str, tuple[str, Column]]:
@@ -41,10 +42,12 @@ def _rule_checks(max_cluster: int) -> dict[str, tuple[str, Column]]:
 
 
 def rule_violations(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFrame:
-    """``file, line_no, severity, problem, term`` of all findings, sorted by term, those without one last.
+    """``file, line_no, severity, problem, term`` of all findings.
 
-    A malformed rule is reported and still takes part in the other checks.
+    A malformed rule is reported and still takes part in the other checks. The rules are
+    parsed once and kept, as several checks read them. For a report see :func:`by_term`.
     """
+    rules = settled(rules.select("file", "line_no", "kind", "left", "right"))
     findings = F.array_compact(
         F.array(
             *[
@@ -59,8 +62,12 @@ def rule_violations(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFra
     overlaps = trigger_overlaps(rules).select(
         "file", "line_no", F.lit("error").alias("severity"), F.lit("shared trigger").alias("problem"), "term"
     )
-    found = single.unionByName(overlaps)
-    return found.orderBy(F.col("term").asc_nulls_last(), "file", "line_no", "problem")
+    return single.unionByName(overlaps)
+
+
+def by_term(violations: DataFrame) -> DataFrame:
+    """Findings in the order of a report: by term, those without one last."""
+    return violations.orderBy(F.col("term").asc_nulls_last(), "file", "line_no", "problem")
 
 
 def rule_statistics(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFrame:
@@ -68,6 +75,7 @@ def rule_statistics(rules: DataFrame, max_cluster: int = MAX_CLUSTER) -> DataFra
 
     A trigger shared by several lines is one error.
     """
+    rules = settled(rules.select("file", "line_no", "kind", "left", "right"))
 
     def problems(kind):
         counts = [
@@ -134,6 +142,42 @@ def rule_phrases(rules: DataFrame) -> DataFrame:
     )
 
 
+def phrase_trie(phrases: DataFrame) -> DataFrame:
+    """``parent, word, node``: the edges of a trie over the words of all phrases.
+
+    A node is the hash of the words that lead to it, so equal beginnings of phrases are
+    one path; the root is the hash of no words.
+    """
+    words = phrases.select(F.split("phrase", " ").alias("words")).distinct()
+    steps = words.select("words", F.posexplode("words").alias("at", "word"))
+    prefix = lambda n: F.xxhash64(F.slice("words", F.lit(1), n))
+    return steps.select(prefix(F.col("at")).alias("parent"), "word", prefix(F.col("at") + 1).alias("node")).distinct()
+
+
+def phrase_hits(words: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``query_id, pos, n`` and the columns of ``phrases`` for every place of a phrase.
+
+    ``words`` holds ``query_id, pos, term``. The trie is walked once for all places: a level
+    joins the next word of every path that is still open, so phrases may be of any length
+    and only beginnings of phrases are ever made.
+    """
+    edges = settled(phrase_trie(phrases))
+    ends = phrases.withColumn("node", F.xxhash64(F.split("phrase", " "))).drop("n")
+    words = settled(words)
+    root = edges.where(F.col("parent") == F.xxhash64(F.array().cast("array<string>")))
+    begin = words.join(root, F.col("term") == F.col("word"))
+    paths = settled(begin.select("query_id", "pos", F.lit(1).alias("n"), "node"))
+    found = None
+    while not paths.isEmpty():
+        level = paths.join(ends, "node").drop("node")
+        found = level if found is None else found.unionByName(level)
+        following = words.select("query_id", F.col("pos").alias("next"), "term")
+        steps = paths.withColumn("next", F.col("pos") + F.col("n")).join(following, ["query_id", "next"])
+        longer = steps.withColumnRenamed("node", "parent").join(edges.withColumnRenamed("word", "term"), ["parent", "term"])
+        paths = settled(longer.select("query_id", "pos", (F.col("n") + 1).alias("n"), "node"))
+    return paths.join(ends, "node").drop("node") if found is None else found
+
+
 def expand_queries(queries: DataFrame, rules: DataFrame, text: str = "query") -> DataFrame:
     """Query terms after the rules: ``query_id, term, weight, synonym``.
 
@@ -141,31 +185,16 @@ def expand_queries(queries: DataFrame, rules: DataFrame, text: str = "query") ->
     rule replaces the matched words. A word of the query keeps its number of
     occurrences as weight, an added word weighs one.
     """
-    phrases = rule_phrases(rules)
-    longest = phrases.agg(F.max("n")).first()[0] or 0
-    words = queries.select("query_id", tokens(text).alias("words"))
-    grams = words.select(
-        "query_id", "words", F.explode(F.sequence(F.lit(1), F.lit(max(longest, 1)))).alias("n")
-    ).where(F.col("n") <= F.size("words"))
-    grams = grams.select(
-        "query_id",
-        "n",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("words") - F.col("n") + 1),
-                lambda i: F.array_join(F.slice("words", i, F.col("n")), " "),
-            )
-        ).alias("pos", "phrase"),
-    )
-    hits = grams.join(phrases, ["phrase", "n"])
+    phrases = settled(rule_phrases(rules))
+    words = queries.select("query_id", F.posexplode(tokens(text)).alias("pos", "term"))
+    hits = phrase_hits(words, phrases)
     removed = (
         hits.where(F.col("kind") == "directional")
         .select("query_id", F.explode(F.sequence("pos", F.col("pos") + F.col("n") - 1)).alias("pos"))
         .distinct()
     )
     kept = (
-        words.select("query_id", F.posexplode("words").alias("pos", "term"))
-        .join(removed, ["query_id", "pos"], "left_anti")
+        words.join(removed, ["query_id", "pos"], "left_anti")
         .select("query_id", "term", F.lit(1).alias("own"))
     )
     added = hits.select("query_id", F.explode("added").alias("phrase")).select(

@@ -327,48 +327,42 @@ FROM kinds k LEFT JOIN terms USING (file) LEFT JOIN counted USING (file)
 
 
 def synonym_expand(spark, sf_dir):
-    """Passages expanded by rules made of the words of the page titles.
+    """Passages expanded by rules made of all words of the page titles.
 
-    The first two words of a title are interchangeable with its third; a title of
-    more than eight words sends its fourth word to its fifth.
+    A title is cut into phrases of one, two, three, four and five words, and so on from one
+    again. Every first and second phrase of a pair are interchangeable, or in every second pair
+    the first is sent to the second.
     """
-    words = tokens("title")
-    titles = page_documents(spark, sf_dir).select("id", words.alias("w")).where(F.size("w") >= 3)
-    same = titles.select(
-        F.concat(F.lit("same-"), "id").alias("file"),
-        F.concat_ws("", F.get("w", F.lit(0)), F.lit(" "), F.get("w", F.lit(1)), F.lit(", "), F.get("w", F.lit(2))).alias("value"),
+    start = lambda j: 15 * F.floor(j / 5) + (j % 5) * (j % 5 + 1) / 2
+    phrase = lambda j: F.array_join(F.slice("w", (start(j) + 1).cast("int"), j % 5 + 1), " ")
+    titles = page_documents(spark, sf_dir).select("id", tokens("title").alias("w"))
+    pairs = titles.select("id", "w", F.explode(F.sequence(F.lit(0), F.size("w"))).alias("j"))
+    pairs = pairs.where((F.col("j") % 2 == 0) & (start(F.col("j") + 1) < F.size("w")))
+    sign = F.when(F.col("j") % 4 == 0, ", ").otherwise(" => ")
+    lines = pairs.select(
+        F.concat_ws("-", "id", "j").alias("file"), F.concat(phrase(F.col("j")), sign, phrase(F.col("j") + 1)).alias("value")
     )
-    sent = titles.where(F.size("w") > 8).select(
-        F.concat(F.lit("sent-"), "id").alias("file"),
-        F.concat_ws(" => ", F.get("w", F.lit(3)), F.get("w", F.lit(4))).alias("value"),
-    )
-    rules = parse_rules(same.unionByName(sent))
-    return expand_queries(passages(spark, sf_dir), rules)
+    return expand_queries(passages(spark, sf_dir), parse_rules(lines))
 
 
+_PHRASE_SQL = "array_to_string(w[15 * ({0} // 5) + ({0} % 5) * ({0} % 5 + 1) // 2 + 1 : 15 * ({0} // 5) + ({0} % 5) * ({0} % 5 + 1) // 2 + {0} % 5 + 1], ' ')"
 SYNONYM_EXPAND_SQL = f"""
 WITH {PAGE_DOCUMENTS_SQL},
-titles AS (SELECT {words_sql('title')} AS w FROM page_documents),
+titles AS (SELECT w, unnest(range(0, len(w) + 1, 2)) AS j FROM (SELECT {words_sql('title')} AS w FROM page_documents)),
+pairs AS (SELECT j, {_PHRASE_SQL.format('j')} AS a, {_PHRASE_SQL.format('(j + 1)')} AS b FROM titles),
 phrases AS (
-    SELECT DISTINCT w[1] || ' ' || w[2] AS phrase, w[3] AS added, 'same' AS kind FROM titles
-    WHERE len(w) >= 3 AND w[1] || ' ' || w[2] <> w[3]
-    UNION
-    SELECT w[3], w[1] || ' ' || w[2], 'same' FROM titles WHERE len(w) >= 3 AND w[1] || ' ' || w[2] <> w[3]
+    SELECT DISTINCT a AS phrase, CASE WHEN a <> b THEN b END AS added, j % 4 = 0 AS same FROM pairs WHERE b <> ''
     UNION
-    SELECT w[4], CASE WHEN w[4] <> w[5] THEN w[5] END, 'sent' FROM titles WHERE len(w) > 8
-),
-words AS (
-    SELECT query_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS term
-    FROM (SELECT item_id AS query_id, {words_sql('text')} AS w FROM benchmark)
+    SELECT b, CASE WHEN a <> b THEN a END, true FROM pairs WHERE b <> '' AND j % 4 = 0
 ),
+asked AS (SELECT item_id AS query_id, {words_sql('text')} AS w FROM benchmark),
+words AS (SELECT query_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS term FROM asked),
 grams AS (
-    SELECT query_id, pos, 1 AS n, term AS phrase FROM words
-    UNION ALL
-    SELECT a.query_id, a.pos, 2, a.term || ' ' || b.term
-    FROM words a JOIN words b ON b.query_id = a.query_id AND b.pos = a.pos + 1
+    SELECT query_id, pos, n, array_to_string(w[pos : pos + n - 1], ' ') AS phrase
+    FROM (SELECT query_id, w, unnest(range(1, len(w) + 1)) AS pos FROM asked) JOIN range(1, 6) AS r(n) ON pos + n - 1 <= len(w)
 ),
 hits AS (SELECT * FROM grams JOIN phrases USING (phrase)),
-gone AS (SELECT DISTINCT query_id, pos FROM hits WHERE kind = 'sent'),
+gone AS (SELECT DISTINCT query_id, unnest(range(pos, pos + n)) AS pos FROM hits WHERE NOT same),
 found AS (
     SELECT query_id, term, 1 AS own FROM words WHERE (query_id, pos) NOT IN (SELECT (query_id, pos) FROM gone)
     UNION ALL

@@ -33,7 +33,7 @@ from rankloom.operators.postings import (
 )
 from rankloom.operators.rerank import fuse, rerank
 from rankloom.operators.suggest import autocomplete, did_you_mean, suggestion_rows
-from rankloom.operators.synonyms import expand_queries, rule_statistics, rule_violations
+from rankloom.operators.synonyms import by_term, expand_queries, phrase_hits, rule_statistics, rule_violations
 from rankloom.operators.vectors import knn
 from rankloom.plans.search import Index, run_queries
 from rankloom.session import settled
@@ -203,6 +203,24 @@ def edits_up_to_one(a, b):
     return 1 if len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long))) else None
 
 
+def test_phrases_of_any_length(spark):
+    rng = random.Random(4)
+    text = [rng.choice("abc") for _ in range(60)]
+    known = sorted({" ".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(60)} | {" ".join(text[3:40])})
+    phrases = spark.createDataFrame([(k, p) for k, p in enumerate(known)], "rule int, phrase string").withColumn("n", F.lit(0))
+    words = spark.createDataFrame([(1, i, w) for i, w in enumerate(text)] + [(2, 0, "d")], "query_id int, pos int, term string")
+    got = sorted((r["query_id"], r["pos"], r["n"], r["phrase"]) for r in phrase_hits(words, phrases).collect())
+    spans = [(i, n) for i in range(60) for n in range(1, 61 - i)]
+    assert got == sorted((1, i, n, " ".join(text[i : i + n])) for i, n in spans if " ".join(text[i : i + n]) in known)
+    assert phrase_hits(words, phrases.limit(0)).count() == 0
+
+
+def test_findings_by_term(spark):
+    rows = [("f", 1, "error", "x", None), ("f", 2, "error", "x", "b"), ("f", 3, "error", "x", "a")]
+    found = by_term(spark.createDataFrame(rows, "file string, line_no int, severity string, problem string, term string"))
+    assert [r["line_no"] for r in found.collect()] == [3, 2, 1]
+
+
 @pytest.mark.parametrize("long_word", [64, -1])
 def test_one_edit_of_words_of_all_lengths(spark, monkeypatch, long_word):
     monkeypatch.setattr(text, "_LONG_WORD", long_word)
