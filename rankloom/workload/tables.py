@@ -35,6 +35,16 @@ def page_documents(spark, sf_dir) -> DataFrame:
     )
 
 
+def path_tags(url="url"):
+    """The parts of a page's path, as its tags."""
+    path = F.regexp_replace(F.regexp_replace(url, r"^[^:]*://[^/]*", ""), r"[?#].*$", "")
+    return F.array_remove(F.split(path, "/"), "")
+
+
+# The path itself: its words are those of the tags.
+PATH_TAGS_SQL = "regexp_replace(regexp_replace(url, '^[^:]*://[^/]*', ''), '[?#].*$', '')"
+
+
 def words_sql(text: str) -> str:
     return rf"regexp_extract_all(lower(coalesce({text}, '')), '[\p{{L}}\p{{N}}]+')"
 
