@@ -24,8 +24,10 @@ TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
 FEATURES = 1 << 11
 # The classifier is fitted on the labelled documents with the smallest hash of their id.
 MAX_LABELLED = 4000
-MAX_STEPS = 60
+# Fitting ends when every total is this close to its target, as a share of all tokens, or
+# when it gains nothing any more, as no rates can meet the targets.
 TOLERANCE = 1e-6
+_PATIENCE, _GAIN = 20, 0.99
 # Sums are taken over whole thousandths of a token, so they do not depend on their order.
 _UNIT = 1000.0
 
@@ -188,28 +190,38 @@ class Fit:
     expected: np.ndarray
     wanted: np.ndarray
 
+    @property
+    def gap(self) -> float:
+        """The furthest an expected total is off its target, as a share of all tokens."""
+        return float(np.abs(self.expected - self.wanted).max() / max(self.wanted.sum(), 1.0))
 
-def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE) -> Fit:
+
+def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, tolerance: float = TOLERANCE) -> Fit:
     """Projected gradient descent for rates whose expected domain tokens meet the targets.
 
-    The targets are shares of all tokens. Steps are as long as the largest eigenvalue of
-    the K by K Gram matrix allows and start with momentum. Targets that no rates can meet
-    end in the nearest totals, so expected tokens never leave the targets further than
-    equal rates do. A document's rate after any number of steps follows from its K chances and the steps'
+    The targets are shares of all tokens. Residuals are weighted by the inverse of the K by
+    K Gram matrix, in which domains that go together (or are rare) bend alike, so a step
+    that clips no rate ends at the targets and few are needed otherwise; steps have
+    momentum. It ends at ``tolerance``, or when ``_PATIENCE`` steps brought no progress: the targets
+    can't be met then, and :attr:`Fit.gap` says by how much.
+
+    A document's rate after any number of steps follows from its K chances and the steps'
     K numbers, so a step is one pass that returns K sums; no state is kept per document
     and a lost executor costs nothing but its share of a pass.
     """
-    gram = _spread(members)
+    inverse = np.linalg.pinv(_spread(members), rcond=1e-10)
     expected, ahead = _expected(members, [])
     wanted = expected.sum() * np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
-    steepest = max(float(np.linalg.eigvalsh(gram)[-1]), 1.0)
-    moves = []
-    for _ in range(max_steps):
-        if np.abs(expected - wanted).max() <= tolerance * max(wanted.sum(), 1.0):
-            break
-        moves.append((ahead - wanted) / steepest)
+    moves: list[np.ndarray] = []
+    best = fit = Fit(moves, expected, wanted)
+    waited = 0
+    while fit.gap > tolerance and waited < _PATIENCE:
+        moves = [*moves, inverse @ (ahead - wanted)]
         expected, ahead = _expected(members, moves)
-    return Fit(moves, expected, wanted)
+        fit = Fit(moves, expected, wanted)
+        waited = 0 if fit.gap < _GAIN * best.gap else waited + 1
+        best = fit if fit.gap < best.gap else best
+    return best
 
 
 def _with_rates(members: DataFrame, fit: Fit) -> DataFrame:
@@ -242,6 +254,32 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARG
     return rated.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
 
 
+def mixture_report(mixed: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, id_col: str = "doc_id") -> DataFrame:
+    """A row per domain about the result of :func:`mixture`.
+
+    ``domain, target, expected`` (shares of all tokens), ``gap`` (their difference), and of
+    the rows whose id is labelled with the domain ``n_rows``, ``n_dropped`` (no copy) and
+    ``n_repeated`` (several copies).
+    """
+    total = F.greatest(F.sum("n_tokens"), F.lit(1))
+    shares = [F.sum(F.col("n_tokens") * F.col("rate") * F.col(c)) / total for c in _CHANCES]
+    wanted = sum(targets.values())
+    each = F.array(
+        *(
+            F.struct(F.lit(k).alias("k"), F.lit(d).alias("domain"), F.lit(targets[d] / wanted).alias("target"), F.coalesce(share, F.lit(0.0)).alias("expected"))
+            for k, (d, share) in enumerate(zip(DOMAINS, shares))
+        )
+    )
+    met = mixed.agg(each.alias("each")).select(F.inline("each"))
+    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), domain_label(F.col("quality"), F.col("toxic")).alias("k"))
+    known = known.filter("doc_id IS NOT NULL AND k IS NOT NULL").groupBy("doc_id").agg(F.min("k").alias("k"))
+    rows = mixed.join(known, "doc_id").groupBy("k").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("copies") == 0).alias("n_dropped"), F.count_if(F.col("copies") > 1).alias("n_repeated")
+    )
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "n_dropped", "n_repeated")]
+    return met.join(rows, "k", "left").select("domain", "target", "expected", (F.col("expected") - F.col("target")).alias("gap"), *counts)
+
+
 def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with their own columns, whatever their names, as often as their copies say.
 

@@ -291,14 +291,57 @@ def test_mixing(spark, docs, empty):
     assert mixing.mixed_documents(docs, labels).columns == docs.columns
 
 
-def test_rates_against_dense_solution():
+def members_of(spark, chances, tokens):
+    rows = [(k, 0, int(n), *map(float, c)) for k, (n, c) in enumerate(zip(tokens, chances))]
+    return spark.createDataFrame(rows, "doc_id long, text_hash long, n_tokens long, p_good double, p_poor double, p_toxic double")
+
+
+def rates_of(members, fit):
+    return np.array([r["rate"] for r in mixing._with_rates(members, fit).orderBy("doc_id").collect()])
+
+
+def test_rates_against_dense_solution(spark):
+    """Where no rate is clipped, the rates nearest to 1 (by tokens) solve K equations."""
     rng = np.random.default_rng(2)
-    chances = rng.dirichlet([1, 1, 1], 200)
-    moves = [np.array([0.1, -0.2, 0.05]), np.array([0.3, 0.0, -0.1])]
-    rate = np.maximum(0, 1 - chances @ moves[0])
-    rate = np.maximum(0, rate - chances @ moves[1])  # momentum starts with the third step
-    plain, _ = mixing._rates(chances, moves)
-    assert np.all(plain >= 0) and np.allclose(plain, rate, atol=0.2)
+    chances, tokens = rng.dirichlet([6, 3, 2], 200), rng.integers(5, 900, 200)
+    targets = {"good": 0.5, "poor": 0.3, "toxic": 0.2}
+    wanted = tokens.sum() * np.array(list(targets.values()))
+    weighted = chances * tokens[:, None]
+    dense = 1 - chances @ np.linalg.lstsq(weighted.T @ chances, weighted.sum(axis=0) - wanted, rcond=None)[0]
+    assert dense.min() > 0
+    members = members_of(spark, chances, tokens)
+    fit = mixing.fit_rates(members, targets)
+    assert np.allclose(rates_of(members, fit), dense, atol=1e-6) and fit.gap <= 1e-6
+
+
+def test_targets_are_met_by_similar_documents(spark):
+    rng = np.random.default_rng(0)
+    chances, tokens = rng.dirichlet([90, 7, 3], 400), rng.integers(10, 2000, 400)
+    members = members_of(spark, chances, tokens)
+    fit = mixing.fit_rates(members)
+    rates = rates_of(members, fit)
+    met = (tokens * rates) @ chances / tokens.sum()
+    assert rates.min() >= 0 and np.allclose(met, [0.85, 0.10, 0.05], atol=1e-3) and fit.gap <= 1e-6
+
+
+def test_targets_that_cannot_be_met_end_with_their_gap(spark):
+    members = members_of(spark, np.tile([0.9, 0.1, 0.0], (50, 1)), np.full(50, 100))
+    fit = mixing.fit_rates(members)
+    assert 0.04 < fit.gap < 0.2 and len(fit.moves) < 60 and rates_of(members, fit).min() >= 0
+
+
+def test_mixture_report(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    mixed = mixing.mixture(docs, labels)
+    report = {r["domain"]: r for r in mixing.mixture_report(mixed, labels).collect()}
+    assert [round(report[d]["target"], 6) for d in mixing.DOMAINS] == [0.85, 0.1, 0.05]
+    assert all(abs(r["gap"]) < 1e-5 for r in report.values())
+    known = labels.where("quality is not null and toxic is not null").select("doc_id").distinct()
+    assert sum(r["n_rows"] for r in report.values()) == docs.join(known, "doc_id").count()
+    assert all(0 <= r["n_dropped"] + r["n_repeated"] <= r["n_rows"] for r in report.values())
+    empty = mixing.mixture_report(mixing.mixture(docs.limit(0), labels), labels).collect()
+    assert len(empty) == 3 and all(r["expected"] == 0 and r["n_rows"] == 0 for r in empty)
 
 
 def test_shingles_match_plain_python():
