@@ -27,7 +27,9 @@ MAX_LABELLED = 4000
 # Fitting ends when every total is this close to its target, as a share of all tokens, or
 # when it gains nothing any more, as no rates can meet the targets.
 TOLERANCE = 1e-6
-_PATIENCE, _GAIN = 20, 0.99
+_PATIENCE, _GAIN = 10, 0.99
+# Directions in which documents differ less than this, as a share of where they differ most, are left alone.
+_FLAT = 1e-5
 # Sums are taken over whole thousandths of a token, so they do not depend on their order.
 _UNIT = 1000.0
 
@@ -190,6 +192,11 @@ class Fit:
     expected: np.ndarray
     wanted: np.ndarray
 
+    @property
+    def distance(self) -> float:
+        """Of the expected totals from the targets."""
+        return float(np.linalg.norm(self.expected - self.wanted))
+
     @property
     def gap(self) -> float:
         """The furthest an expected total is off its target, as a share of all tokens."""
@@ -202,14 +209,16 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, tolerance
     The targets are shares of all tokens. Residuals are weighted by the inverse of the K by
     K Gram matrix, in which domains that go together (or are rare) bend alike, so a step
     that clips no rate ends at the targets and few are needed otherwise; steps have
-    momentum. It ends at ``tolerance``, or when ``_PATIENCE`` steps brought no progress: the targets
-    can't be met then, and :attr:`Fit.gap` says by how much.
+    momentum. It ends at ``tolerance``, or when ``_PATIENCE`` steps came no closer: the targets
+    can't be met then, and :attr:`Fit.gap` says by how much. A domain that next to no
+    document may belong to (its direction of the Gram matrix is flat) is left as it is
+    while the others meet their targets; filling it would take rates in the thousands.
 
     A document's rate after any number of steps follows from its K chances and the steps'
     K numbers, so a step is one pass that returns K sums; no state is kept per document
     and a lost executor costs nothing but its share of a pass.
     """
-    inverse = np.linalg.pinv(_spread(members), rcond=1e-10)
+    inverse = np.linalg.pinv(_spread(members), rcond=_FLAT, hermitian=True)
     expected, ahead = _expected(members, [])
     wanted = expected.sum() * np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
     moves: list[np.ndarray] = []
@@ -219,8 +228,8 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, tolerance
         moves = [*moves, inverse @ (ahead - wanted)]
         expected, ahead = _expected(members, moves)
         fit = Fit(moves, expected, wanted)
-        waited = 0 if fit.gap < _GAIN * best.gap else waited + 1
-        best = fit if fit.gap < best.gap else best
+        waited = 0 if fit.distance < _GAIN * best.distance else waited + 1
+        best = fit if fit.distance < best.distance else best
     return best
 
 

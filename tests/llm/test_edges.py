@@ -330,6 +330,20 @@ def test_targets_that_cannot_be_met_end_with_their_gap(spark):
     assert 0.04 < fit.gap < 0.2 and len(fit.moves) < 60 and rates_of(members, fit).min() >= 0
 
 
+def test_a_domain_without_documents_is_left_alone(spark):
+    rng = np.random.default_rng(3)
+    sure = rng.uniform(0.9, 0.99, 300)
+    good = np.where(np.arange(300) % 8 == 0, 1 - sure, sure)
+    poor = rng.uniform(0, 0.0005, 300)
+    chances, tokens = np.stack([good - poor, poor, 1 - good], axis=1), rng.integers(10, 2000, 300)
+    members = members_of(spark, chances, tokens)
+    fit = mixing.fit_rates(members)
+    rates = rates_of(members, fit)
+    met = (tokens * rates) @ chances / tokens.sum()
+    assert np.allclose(met[[0, 2]], [0.85, 0.05], atol=1e-3) and met[1] < 0.001 and rates.max() < 3
+    assert 0.09 < fit.gap < 0.1
+
+
 def test_mixture_report(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
