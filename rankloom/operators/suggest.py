@@ -6,16 +6,12 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from rankloom.functions.text import _col, allowed_edits, tokens
 from rankloom.operators.fuzzy import one_edit_pairs
+from rankloom.operators.prefixes import prefix_matches
+from rankloom.session import stored
 
 NO_CONTEXT = ""
 
 
-def _prefixes(term):
-    return F.transform(
-        F.sequence(F.lit(1), F.length(term)), lambda i: F.substr(term, F.lit(1), i)
-    )
-
-
 def prefix_table(prefixes: DataFrame, text: str = "prefix") -> DataFrame:
     """``prefix_id, words, last, context`` of every prefix with at least one word."""
     return (
@@ -38,10 +34,35 @@ def near_forms(wanted: DataFrame, known: DataFrame, fuzzy: bool = True) -> DataF
     exact = wanted.join(known, "term", "left_semi").select(
         "term", F.col("term").alias("match"), F.lit(0).alias("edits")
     )
+    return exact.unionByName(_loose_forms(wanted, known)) if fuzzy else exact
+
+
+def near_beginnings(wanted: DataFrame, vocabulary: DataFrame, fuzzy: bool = True) -> DataFrame:
+    """``term, match, edits``: every wanted word itself, and beginnings of known words one edit away.
+
+    Whether a known word begins with the wanted one is left to the match of ranges.
+    Beginnings are made only in the lengths that one edit can reach, so their number
+    grows with the distinct lengths of what is asked and not with the length of a term.
+    """
+    itself = wanted.select("term", F.col("term").alias("match"), F.lit(0).alias("edits"))
     if not fuzzy:
-        return exact
+        return itself
+    size = F.length("term")
+    reached = wanted.where(allowed_edits("term") > 0).select(F.explode(F.sequence(size - 1, size + 1)).alias("n"))
+    lengths = reached.agg(F.collect_set("n")).scalar()
+    beginnings = (
+        vocabulary.select("term", lengths.alias("lengths"))
+        .select("term", F.explode("lengths").alias("n"))
+        .where(F.col("n") <= size)
+        .select(F.substr("term", F.lit(1), F.col("n")).alias("term"))
+        .distinct()
+    )
+    return itself.unionByName(_loose_forms(wanted, beginnings))
+
+
+def _loose_forms(wanted: DataFrame, known: DataFrame) -> DataFrame:
     loose = wanted.where(allowed_edits("term") > 0)
-    return exact.unionByName(one_edit_pairs(loose, known).where(F.col("edits") > 0))
+    return one_edit_pairs(loose, known).where(F.col("edits") > 0)
 
 
 def suggestion_units(docs: DataFrame, fields: list, with_context: bool = True) -> DataFrame:
@@ -77,30 +98,33 @@ def autocomplete(
 
     Completions without an edit come first, then those in more documents. Only the
     ``top`` completions of every needed beginning are kept before they meet the
-    prefixes: one below them cannot reach the result.
+    prefixes: one below them cannot reach the result. A beginning is a range of the
+    sorted words and is never written out.
     """
     wanted = prefix_table(prefixes)
-    units = suggestion_units(docs, fields)
+    units = stored(suggestion_units(docs, fields), "units")
     # The empty context holds every word once, so it serves as vocabulary.
-    beginnings = (
-        units.where(F.col("context") == NO_CONTEXT)
-        .select(F.explode(_prefixes("term")).alias("term"))
-        .distinct()
-    )
-    forms = near_forms(wanted.select(F.col("last").alias("term")).distinct(), beginnings, fuzzy)
-    asked = (
+    words = units.where(F.col("context") == NO_CONTEXT).select("term")
+    forms = near_beginnings(wanted.select(F.col("last").alias("term")).distinct(), words, fuzzy)
+    asked = stored(
         wanted.select("context", F.col("last").alias("asked"))
         .distinct()
         .join(forms.withColumnRenamed("term", "asked"), "asked")
-        .select("context", "asked", F.col("match").alias("start"), "edits")
+        .select("context", "asked", F.col("match").alias("start"), "edits"),
+        "asked",
     )
-    needed = asked.select("context", "start").distinct()
-    best_of_start = W.partitionBy("context", "start").orderBy(F.col("df").desc(), "term")
-    completions = (
-        units.select("context", "term", "df", F.explode(_prefixes("term")).alias("start"))
-        .join(needed, ["context", "start"], "left_semi")
-        .withColumn("n", F.row_number().over(best_of_start))
-        .where(F.col("n") <= top)
+    # A space sorts before all letters and digits, so the words after a context are one
+    # range, and a beginning of them a range within it.
+    in_context = lambda word: F.concat("context", F.lit(" "), word)
+    completions = prefix_matches(
+        asked.select(in_context("start").alias("prefix")).distinct(),
+        units.select(in_context("term").alias("key"), "df"),
+        top,
+    ).select(
+        F.substring_index("prefix", " ", 1).alias("context"),
+        F.substring_index("prefix", " ", -1).alias("start"),
+        F.substring_index("key", " ", -1).alias("term"),
+        "df",
     )
     per_asked = (
         asked.join(completions, ["context", "start"])
@@ -140,31 +164,26 @@ def did_you_mean(
         F.when(F.col("pos") == F.size("words") - 1, "start").otherwise("word").alias("kind"),
     )
     all_words = F.array_distinct(F.concat(*[tokens(_col(f)) for f in fields]))
-    vocabulary = docs.select(F.explode(all_words).alias("term")).distinct()
-    beginnings = vocabulary.select(F.explode(_prefixes("term")).alias("term")).distinct()
-
-    def forms(kind, known):
-        part = asked.where(F.col("kind") == kind)
-        near = near_forms(part.select("term").distinct(), known, fuzzy)
-        return part.join(near, "term").select("prefix_id", "pos", "kind", F.col("match").alias("form"), "edits")
-
-    matches = forms("word", vocabulary).unionByName(forms("start", beginnings))
+    vocabulary = stored(docs.select(F.explode(all_words).alias("term")).distinct(), "words")
+    full = asked.where(F.col("kind") == "word")
+    matches = full.join(near_forms(full.select("term").distinct(), vocabulary, fuzzy), "term").select(
+        "prefix_id", "pos", F.col("match").alias("word"), "edits"
+    )
+    last = asked.where(F.col("kind") == "start")
+    starts = stored(near_beginnings(last.select("term").distinct(), vocabulary, fuzzy), "starts")
+    begun = prefix_matches(
+        starts.select(F.col("match").alias("prefix")).distinct(),
+        vocabulary.select(F.col("term").alias("key"), F.lit(0).alias("df")),
+    ).select(F.col("prefix").alias("match"), F.col("key").alias("word"))
+    # A word reached by several beginnings counts with its fewest edits.
+    last_words = starts.join(begun, "match").groupBy("term", "word").agg(F.min("edits").alias("edits"))
+    matches = matches.unionByName(last.join(last_words, "term").select("prefix_id", "pos", "word", "edits"))
     # As in the postings, all rows of a document share a partition, and pairs of
     # prefix and document are summed and cut to the top where they arise.
     placed = docs.select(F.col(id_col).alias("id"), all_words.alias("words")).repartition("id")
-    doc_forms = placed.select("id", F.explode("words").alias("word")).select(
-        "id",
-        F.inline(
-            F.concat(
-                F.array(F.struct(F.lit("word").alias("kind"), F.col("word").alias("form"))),
-                F.transform(
-                    _prefixes("word"), lambda p: F.struct(F.lit("start").alias("kind"), p.alias("form"))
-                ),
-            )
-        ),
-    )
     hits = (
-        doc_forms.join(matches, ["kind", "form"])
+        placed.select("id", F.explode("words").alias("word"))
+        .join(matches, "word")
         .groupBy("id", "prefix_id", "pos")
         .agg(F.min("edits").alias("edits"))
         .groupBy("id", "prefix_id")
