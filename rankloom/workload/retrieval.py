@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import allowed_edits, case_tokens, normalise, stem, tokens
-from rankloom.operators.compounds import add_parts, compound_parts, posting_parts
+from rankloom.operators.compounds import LINKING, add_parts, compound_parts, posting_parts
 from rankloom.operators.fuzzy import one_edit_pairs
 from rankloom.operators.keyword import (
     freshness_boost,
@@ -155,47 +155,67 @@ SELECT query_id, id, score, rank FROM {ranked_sql("scored", 10)}
 
 
 def compound_words(spark, sf_dir):
-    """Words of the documents that are two of their words written together."""
-    return compound_parts(vocabulary(_documents(spark, sf_dir), TEXT))
+    """Words of the documents that are others of their words written together."""
+    return compound_parts(vocabulary(_documents(spark, sf_dir), TEXT), links=LINKING["nl"])
 
 
 VOCABULARY_SQL = f"""
 vocab AS (SELECT DISTINCT unnest({words_sql('text')}) AS term FROM documents)"""
+# All ways through a term are walked from its start, and the shortest kept.
 _CUTS_SQL = """
-cuts AS (
-    SELECT term, left(term, cut) AS head, substr(term, cut + 1) AS tail
-    FROM (SELECT term, unnest(range(4, length(term) - 3)) AS cut FROM vocab WHERE length(term) >= 8)
+spots AS (
+    SELECT term, start, unnest(range(4, least(length(term) - start, 30) + 1)) AS size
+    FROM (SELECT term, unnest(range(0, length(term) - 3)) AS start FROM vocab WHERE length(term) >= 8)
 ),
+stretches AS (
+    SELECT s.term, start, start + size AS after, w.term AS part
+    FROM spots s JOIN vocab w ON w.term = substr(s.term, start + 1, size) WHERE w.term <> s.term
+),
+steps AS (
+    SELECT term, start, after, part FROM stretches
+    UNION ALL
+    SELECT term, start, after + length(x), part FROM stretches, (VALUES ('s'), ('e'), ('en')) links(x)
+    WHERE substr(term, after + 1, length(x)) = x AND after + length(x) < length(term)
+),
+ways AS (
+    SELECT DISTINCT term, 0 AS place, []::VARCHAR[] AS parts FROM steps
+    UNION
+    SELECT w.term, s.after, list_append(w.parts, s.part) FROM ways w JOIN steps s ON s.term = w.term AND s.start = w.place
+),
+whole AS (SELECT term, parts, len(parts) AS n FROM ways WHERE place = length(term)),
 parts AS (
-    SELECT DISTINCT c.term, unnest([c.head, c.tail]) AS part
-    FROM cuts c JOIN vocab h ON h.term = c.head JOIN vocab t ON t.term = c.tail
+    SELECT DISTINCT term, unnest(parts) AS part
+    FROM (SELECT *, min(n) OVER (PARTITION BY term) AS least_n FROM whole) WHERE n = least_n
 )"""
-COMPOUNDS_SQL = f"WITH {VOCABULARY_SQL}, {_CUTS_SQL} SELECT term, part FROM parts"
+COMPOUNDS_SQL = f"WITH RECURSIVE {VOCABULARY_SQL}, {_CUTS_SQL} SELECT term, part FROM parts"
 
 
 def decompounded_topk(spark, sf_dir):
-    """Page titles searched with compound words also listed under their parts."""
-    docs = settled(page_documents(spark, sf_dir).select("id", "title"))
-    fields = {"title": "title"}
-    parts = compound_parts(vocabulary(docs, fields))
+    """Whole pages searched with compound words also listed under their parts."""
+    docs = settled(page_documents(spark, sf_dir).select("id", "title", "body"))
+    fields = {"title": "title", "body": "body"}
+    parts = settled(compound_parts(vocabulary(docs, fields), links=LINKING["nl"]))
     postings = posting_parts(document_postings(docs, fields), parts)
     terms = add_parts(query_terms(passages(spark, sf_dir)), parts)
-    return _ranked(search_postings(postings, terms, 10, {"title": 1.0}))
+    return _ranked(search_postings(postings, terms, 10, {"title": 2.0, "body": 1.0}))
 
 
 DECOMPOUNDED_SQL = f"""
-WITH {PAGE_DOCUMENTS_SQL},
-toks AS (SELECT id, {words_sql('title')} AS words FROM page_documents),
+WITH RECURSIVE {PAGE_DOCUMENTS_SQL},
+toks AS (
+    SELECT id, 'title' AS field, 2.0 AS w, {words_sql('title')} AS words FROM page_documents
+    UNION ALL SELECT id, 'body', 1.0, {words_sql('body')} FROM page_documents
+),
 vocab AS (SELECT DISTINCT unnest(words) AS term FROM toks),
 {_CUTS_SQL},
-totals AS (SELECT count(*) AS n_docs, sum(len(words))::DOUBLE / count(*) AS mean_len FROM toks),
-base AS (SELECT id, len(words) AS dl, unnest(words) AS term FROM toks),
+totals AS (SELECT field, any_value(w)::DOUBLE AS w, count(*) AS n_docs, sum(len(words))::DOUBLE / count(*) AS mean_len FROM toks GROUP BY field),
+base AS (SELECT id, field, len(words) AS dl, unnest(words) AS term FROM toks),
 post AS (
-    SELECT id, dl, term, count(*)::DOUBLE AS tf
-    FROM (SELECT * FROM base UNION ALL SELECT id, dl, part FROM base JOIN parts USING (term))
+    SELECT id, field, dl, term, count(*)::DOUBLE AS tf
+    FROM (SELECT * FROM base UNION ALL SELECT id, field, dl, part FROM base JOIN parts USING (term))
     GROUP BY ALL
 ),
-freq AS (SELECT term, count(*) AS df FROM post GROUP BY ALL),
+freq AS (SELECT field, term, count(*) AS df FROM post GROUP BY ALL),
 own AS ({PASSAGE_TERMS_SQL}),
 q AS (
     SELECT query_id, term, max(weight) AS weight
@@ -204,9 +224,9 @@ q AS (
 ),
 scored AS (
     SELECT q.query_id, p.id,
-           round(sum(q.weight * ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2
+           round(sum(w * q.weight * ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2
                      / (tf + 1.2 * (0.25 + 0.75 * dl / mean_len))), 6) AS score
-    FROM q JOIN post p USING (term) JOIN freq USING (term) CROSS JOIN totals
+    FROM q JOIN post p USING (term) JOIN freq USING (field, term) JOIN totals USING (field)
     GROUP BY q.query_id, p.id
 )
 SELECT query_id, id, score, rank FROM {ranked_sql("scored", 10)}

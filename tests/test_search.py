@@ -276,6 +276,28 @@ def test_vocabulary_and_compounds(spark):
     assert sorted(map(tuple, parts)) == [("parkeervergunning", "parkeer"), ("parkeervergunning", "vergunning")]
 
 
+def test_compounds_of_any_number_of_parts(spark):
+    words = [
+        "stad", "huis", "deur", "knop", "stadhuis", "stadhuisdeurknop",  # three words beat four
+        "leven", "verzekering", "levensverzekering", "levenssverzekering",  # one linking letter, not two
+        "huisdeuren", "deuren", "huisen",  # a word does not end in linking letters
+        "aaaa", "aaaaaaaa", "x" * 20_000,
+    ]
+    known = spark.createDataFrame([(w,) for w in words], "term string")
+    found = {}
+    for term, part in compound_parts(known, links=("s", "en")).collect():
+        found.setdefault(term, set()).add(part)
+    assert found == {
+        "stadhuis": {"stad", "huis"},
+        "stadhuisdeurknop": {"stadhuis", "deur", "knop"},
+        "levensverzekering": {"leven", "verzekering"},
+        "huisdeuren": {"huis", "deuren"},
+        "aaaaaaaa": {"aaaa"},
+    }
+    plain = compound_parts(known).where("term like 'leven%'")
+    assert plain.count() == 0 and compound_parts(known.limit(0)).count() == 0
+
+
 @pytest.fixture()
 def rules(spark, tmp_path):
     lines = [
