@@ -30,11 +30,18 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     ``spark.checkpoint.dir`` or the checkpoint folder of the context; a session
-    that names neither keeps its intermediate tables below its warehouse, which
-    is shared by definition.
+    that names neither keeps its intermediate tables below its warehouse. Where that
+    is a folder of each machine, a session on several machines has to name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_rankloom").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    target = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = target.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_rankloom"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

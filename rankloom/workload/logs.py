@@ -14,7 +14,7 @@ from rankloom.sources.query_log import parse_log, split_malformed
 from rankloom.workload.tables import table
 
 
-def _lines(spark, sf_dir):
+def log_lines(spark, sf_dir):
     """One log line per event.
 
     The number of results comes from the event properties. Some lines lack it, some
@@ -38,7 +38,7 @@ def _lines(spark, sf_dir):
 
 
 def _log(spark, sf_dir):
-    return split_malformed(parse_log(_lines(spark, sf_dir)))[0]
+    return split_malformed(parse_log(log_lines(spark, sf_dir)))[0]
 
 
 LOG_SQL = """
@@ -53,7 +53,7 @@ log AS (
 
 def log_scan(spark, sf_dir):
     """Readable and malformed lines of the log."""
-    good, bad = split_malformed(parse_log(_lines(spark, sf_dir)))
+    good, bad = split_malformed(parse_log(log_lines(spark, sf_dir)))
     return (
         good.select(F.lit("readable").alias("kind"))
         .unionByName(bad.select(F.lit("malformed").alias("kind")))
