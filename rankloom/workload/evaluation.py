@@ -19,7 +19,7 @@ SENTENCE = r"[.\n]+"
 def _sentences(df, key):
     parts = F.transform(F.split("text", SENTENCE), lambda s: F.trim(s))
     return df.select(key, F.explode(F.array_distinct(parts)).alias("sentence")).where(
-        F.length("sentence") >= 15
+        F.col("sentence") != ""
     )
 
 
@@ -44,11 +44,11 @@ def _judgments(spark, sf_dir):
 JUDGMENTS_SQL = """
 doc_sentences AS (
     SELECT DISTINCT doc_id, trim(s) AS sentence
-    FROM (SELECT doc_id, unnest(string_split_regex(text, '[.\\n]+')) AS s FROM documents) WHERE length(trim(s)) >= 15
+    FROM (SELECT doc_id, unnest(string_split_regex(text, '[.\\n]+')) AS s FROM documents) WHERE trim(s) <> ''
 ),
 item_sentences AS (
     SELECT DISTINCT item_id, trim(s) AS sentence
-    FROM (SELECT item_id, unnest(string_split_regex(text, '[.\\n]+')) AS s FROM benchmark) WHERE length(trim(s)) >= 15
+    FROM (SELECT item_id, unnest(string_split_regex(text, '[.\\n]+')) AS s FROM benchmark) WHERE trim(s) <> ''
 ),
 shared AS (
     SELECT item_id, doc_id, count(*) AS n FROM doc_sentences JOIN item_sentences USING (sentence) GROUP BY ALL
@@ -89,7 +89,7 @@ def _per_query(spark, sf_dir):
     again = rerank(found, term_coverage(), 50)
     results = None
     for config, rows in zip(CONFIGS, (newest, found, again)):
-        part = rows.where("rank <= 20").select(
+        part = rows.select(
             F.lit(config).alias("config"),
             F.col("query_id").cast("string").alias("query"),
             "id",
@@ -121,7 +121,6 @@ graded AS (
     FROM results r
     LEFT JOIN grades a ON a.query = r.query AND a.intended_id = r.id::VARCHAR
     LEFT JOIN grades b ON b.query = r.query AND b.intended_id = '/d/' || r.id
-    WHERE r.rank <= 20
 ),
 ideal AS (
     SELECT query, sum((pow(2, grade) - 1) / log2(n + 1)) AS ideal
