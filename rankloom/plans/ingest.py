@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rankloom.functions.dates import parse_modified
@@ -12,9 +14,14 @@ from rankloom.sources.content import read_content
 VARIANTS = ("baseline", "tuned")
 
 
-def load_documents(spark: SparkSession, folder: str, as_of: Column) -> DataFrame:
-    """Canonical documents of a folder in source order columns ``file, pos``."""
-    return require_id(canonicalise(read_content(spark, folder), as_of))
+def load_documents(
+    spark: SparkSession, folder: str, as_of: Column, read: Callable[..., DataFrame] = read_content
+) -> DataFrame:
+    """Canonical documents of a folder in source order columns ``file, pos``.
+
+    ``read`` is ``read_content``, a file a row, or ``read_large_content``, which cuts files.
+    """
+    return require_id(canonicalise(read(spark, folder), as_of))
 
 
 def current_documents(docs: DataFrame) -> DataFrame:

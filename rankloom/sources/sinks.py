@@ -14,6 +14,13 @@ METRICS = (
     "found_rate",
     "zero_result_rate",
 )
+# Values as they are: blanks kept, quotes doubled, nothing for empty text.
+CSV_OPTIONS = {
+    "escape": '"',
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_canonical(docs: DataFrame, path: str) -> None:
@@ -64,7 +71,7 @@ def write_reports(config_metrics: DataFrame, query_metrics: DataFrame, folder: s
         ("relevance-summary", summary_rows(config_metrics)),
         ("relevance-per-query", detail_rows(query_metrics)),
     ):
-        rows.write.mode("overwrite").option("emptyValue", "").csv(f"{folder}/{name}", header=True)
+        rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{folder}/{name}", header=True)
 
 
 def preview(docs: DataFrame, n: int) -> DataFrame:

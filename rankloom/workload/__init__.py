@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rankloom.workload import content, curation, evaluation, growing, logs, modes, retrieval, suggestions, vectors
+from rankloom.workload import content, curation, evaluation, files, growing, logs, modes, retrieval, suggestions, vectors
 
-_MODULES = (content, retrieval, vectors, curation, suggestions, evaluation, modes, logs, growing)
+_MODULES = (content, retrieval, vectors, curation, suggestions, evaluation, modes, logs, growing, files)
 
 
 def queries() -> dict:
