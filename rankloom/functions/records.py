@@ -20,33 +20,23 @@ FIELD_ALIASES = {
 }
 
 
-def _path(name: str) -> str:
-    return f"$['{name}']"
+def named_values(record) -> Column:
+    """The members of a variant object by name; null for anything else."""
+    return F.try_variant_get(_col(record), "$", "map<string,variant>")
 
 
-def first_present(record, names: Sequence[str]) -> Column:
-    """Text of the first named value that is neither missing, null nor empty.
+def value_text(value) -> Column:
+    """The text of a variant."""
+    return F.try_variant_get(_col(value), "$", "string")
 
-    Whitespace, zero and empty lists count as present.
-    """
-    record = _col(record)
-    return F.coalesce(
-        *[F.nullif(F.try_variant_get(record, _path(n), "string"), F.lit("")) for n in names]
-    )
 
+def first_present(values, names: Sequence[str]) -> Column:
+    """The first of the named values that is neither missing, null nor empty, as a variant.
 
-def first_present_value(record, names: Sequence[str]) -> Column:
-    """Like :func:`first_present`, with the value kept as a variant."""
-    record = _col(record)
-    return F.coalesce(
-        *[
-            F.when(
-                F.try_variant_get(record, _path(n), "string") != "",
-                F.try_variant_get(record, _path(n), "variant"),
-            )
-            for n in names
-        ]
-    )
+    ``values`` come from :func:`named_values`. Whitespace, zero and empty lists count as present.
+    """
+    named = [F.try_element_at(_col(values), F.lit(n)) for n in names]
+    return F.coalesce(*[F.when(value_text(v) != "", v) for v in named])
 
 
 def split_tags(text) -> Column:
@@ -64,7 +54,7 @@ def normalise_tags(value) -> Column:
     """A variant holding nothing, a string, a list or another scalar, as tags."""
     value = _col(value)
     kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
+    text = value_text(value)
     return (
         F.when(value.isNull(), F.array().cast("array<string>"))
         .when(kind.startswith("ARRAY"), clean_tag_list(F.try_variant_get(value, "$", "array<string>")))

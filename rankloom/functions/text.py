@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
 import unicodedata
 
 import pandas as pd
@@ -68,15 +70,15 @@ def collapse_ends(text) -> Column:
     return F.btrim(_col(text), F.lit(SPACE_CHARACTERS))
 
 
-def _fold_text(text: str | None) -> str | None:
-    if text is None:
-        return None
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+@functools.cache
+def _combining_marks() -> dict[int, None]:
+    return {c: None for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))}
 
 
 @F.pandas_udf(T.StringType())
 def _fold_marks(texts: pd.Series) -> pd.Series:
-    return texts.map(_fold_text)
+    marks = _combining_marks()
+    return texts.map(lambda text: unicodedata.normalize("NFKD", text).translate(marks), na_action="ignore")
 
 
 def normalise(text) -> Column:

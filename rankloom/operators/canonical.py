@@ -11,10 +11,11 @@ from rankloom.functions.markup import strip_html
 from rankloom.functions.records import (
     FIELD_ALIASES,
     first_present,
-    first_present_value,
     last_named_value,
+    named_values,
     normalise_tags,
     split_tags,
+    value_text,
 )
 from rankloom.functions.text import collapse_ends
 
@@ -38,24 +39,26 @@ def canonicalise(records: DataFrame, as_of: Column, aliases=FIELD_ALIASES) -> Da
     ``id`` is null where the record has none (see :func:`require_id`).
     ``lastModified`` is text in the canonical format.
     """
-    record = F.col("record")
-    carried = [c for c in records.columns if c != "record"]
-    text = {f: first_present(record, aliases[f]) for f in CANONICAL if f != "tags"}
-    ident = first_present_value(record, aliases["id"])
+    carried = F.struct(*[c for c in records.columns if c != "record"])
+    # One step for the members, one for the chosen values: each is read once.
+    members = records.select(carried.alias("_carried"), named_values("record").alias("_members"))
+    chosen = members.select("_carried", *[first_present("_members", aliases[f]).alias(f) for f in CANONICAL])
+    ident = F.col("id")
+    text = {f: value_text(f) for f in CANONICAL if f != "tags"}
     # Zero and false are no usable ids either.
     falsy = ident.isNull() | (
         ~F.schema_of_variant(ident).isin("STRING")
         & F.try_variant_get(ident, "$", "string").isin("0", "0.0", "false", "[]", "{}")
     )
-    return records.select(
-        *carried,
+    return chosen.select(
+        "_carried.*",
         F.when(~falsy, text["id"]).alias("id"),
         strip_html(text["title"]).alias("title"),
         strip_html(text["body"]).alias("body"),
         collapse_ends(F.coalesce(text["url"], F.lit(""))).alias("url"),
         content_type(text["contentType"]).alias("contentType"),
-        normalise_tags(first_present_value(record, aliases["tags"])).alias("tags"),
-        _modified(first_present_value(record, aliases["lastModified"]), text["lastModified"], as_of).alias("lastModified"),
+        normalise_tags("tags").alias("tags"),
+        _modified(F.col("lastModified"), text["lastModified"], as_of).alias("lastModified"),
     )
 
 
