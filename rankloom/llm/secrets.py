@@ -31,12 +31,10 @@ LENGTHS = (MIN_IDENTIFIER, 16, 20, 32)
 
 FALSE_ALARMS = 0.001
 HELD_OUT = 10
-# Characters on each side of a token that tell its places apart, and the fewest surely
-# ordinary tokens to learn from; with fewer, all tokens that may be ordinary are used.
+# Characters on each side of a token that tell its places apart.
 _AROUND = 16
-LEAST_SURE = 50
-# Fewer held-out random strings don't tell what share of the ordinary tokens are like them.
-_LEAST_RANDOM = 5
+# What is known before any surely ordinary token is seen counts as so many of them.
+PRIOR = 10
 _BIN = 0.02
 _BLOCK = 256
 
@@ -131,32 +129,35 @@ def labelled_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return grouped.select("token", "random", ((F.col("random") == 0) & F.col("sure")).alias("sure"))
 
 
-def learned_from(tokens: DataFrame) -> DataFrame:
-    """The random strings and the surely ordinary tokens; all tokens where too few are sure."""
-    enough = tokens.filter("sure").limit(LEAST_SURE).count() == LEAST_SURE
-    return tokens.filter("random = 1 or sure") if enough else tokens
+def unsure_weight(tokens: DataFrame) -> float:
+    """What a token that may be ordinary counts beside one that surely is.
+
+    It falls with the square of the number of sure ones, so that what all the unsure ones
+    together count vanishes however many there are for each sure one.
+    """
+    return (PRIOR / (PRIOR + tokens.filter("sure").count())) ** 2
 
 
 def _held_out() -> Column:
     return F.pmod(F.xxhash64("token"), F.lit(HELD_OUT)) == 0
 
 
-def log_ratios(tokens: DataFrame) -> list[float]:
+def log_ratios(tokens: DataFrame, unsure: float) -> list[float]:
     """log P(next | previous) under random strings less the same under identifiers.
 
-    Counted over all tokens not held out; smoothed by one. The pairs of alphabet
-    characters bound what reaches the driver.
+    Counted over all tokens not held out, those not sure to be ordinary with the weight
+    ``unsure``; smoothed by one. The pairs of alphabet characters bound what reaches the driver.
     """
     size = len(ALPHABET) + 1
-    chars = tokens.filter(~_held_out()).select("random", F.concat(F.array(F.lit("")), F.split("token", "")).alias("chars"))
+    chars = tokens.filter(~_held_out()).select("random", "sure", F.concat(F.array(F.lit("")), F.split("token", "")).alias("chars"))
     pair = lambda i: F.struct(F.get("chars", i - 1).alias("a"), F.get("chars", i).alias("b"))
-    pairs = chars.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.size("chars") - 1), pair)).alias("p"))
-    counted = pairs.groupBy("random", "p.a", "p.b").count()
+    pairs = chars.select("random", "sure", F.explode(F.transform(F.sequence(F.lit(1), F.size("chars") - 1), pair)).alias("p"))
+    counted = pairs.groupBy("random", "sure", "p.a", "p.b").count()
     place = lambda c: F.when(F.col(c) == "", 0).otherwise(F.position(F.col(c), F.lit(ALPHABET)))
-    coded = counted.groupBy("random", place("a").alias("a"), place("b").alias("b")).agg(F.sum("count").alias("n"))
+    coded = counted.groupBy("random", "sure", place("a").alias("a"), place("b").alias("b")).agg(F.sum("count").alias("n"))
     counts = [[[1.0] * size for _ in range(size)] for _ in range(2)]
-    for row in coded.collect():  # at most 2 * 68 * 68 rows
-        counts[row["random"]][row["a"]][row["b"]] += row["n"]
+    for row in coded.collect():  # at most 3 * 69 * 69 rows
+        counts[row["random"]][row["a"]][row["b"]] += row["n"] * (1 if row["random"] or row["sure"] else unsure)
     share = [[[math.log(n / sum(line)) for n in line] for line in model] for model in counts]
     return [share[1][a][b] - share[0][a][b] for a in range(size) for b in range(size)]
 
@@ -175,12 +176,12 @@ def token_score(token: Column, ratios: list[float]) -> Column:
     return F.aggregate(chars, state, step, lambda acc: acc["sum"] / F.size(chars))
 
 
-def _limit(ordinary: dict[int, int], random: dict[int, int], false_alarms: float) -> int:
+def _limit(ordinary: dict[int, float], random: dict[int, int], false_alarms: float) -> int:
     """The least bin, from 0, that at most this share of ordinary tokens exceeds.
 
     ``ordinary`` and ``random`` count held-out tokens per bin. Ordinary tokens that are
     keys after all score as random strings do, so what the upper half of those shows to
-    be like them is left out of the share.
+    be like them is left out of the share, the less so the fewer random strings there are.
     """
     n, m = sum(ordinary.values()), sum(random.values())
     if not n:
@@ -188,7 +189,8 @@ def _limit(ordinary: dict[int, int], random: dict[int, int], false_alarms: float
     exceed = lambda counts, place: sum(c for b, c in counts.items() if b > place)
     places = range(max([*ordinary, *random]) + 1)
     known = [(exceed(ordinary, p) / n, exceed(random, p) / max(m, 1)) for p in places]
-    keys = min([1.0, *(o / r for o, r in known if r >= 0.5)]) if m >= _LEAST_RANDOM and known[0][1] >= 0.5 else 0.0
+    alike = [o / r for o, r in known if r >= 0.5]
+    keys = min([1.0, *alike]) * m / (m + 1) if alike else 0.0
     return next(p for p, (o, r) in zip(places, known) if o - keys * r <= false_alarms * (1 - keys))
 
 
@@ -197,19 +199,22 @@ def _length_class(token: Column) -> Column:
     return F.greatest(F.lit(0), sum((F.length(token) >= n).cast("int") for n in LENGTHS) - 1)
 
 
-def thresholds(tokens: DataFrame, ratios: list[float], false_alarms: float = FALSE_ALARMS) -> list[float]:
+def thresholds(tokens: DataFrame, ratios: list[float], unsure: float, false_alarms: float = FALSE_ALARMS) -> list[float]:
     """The least score per length class, not below 0, that at most this share of held-out identifiers exceeds.
 
-    A class with few held-out identifiers has the limit of all lengths. Random strings
-    are counted over all lengths, as most are as long as the fixed patterns make them.
+    To the identifiers of a class come ``PRIOR`` spread like those of all lengths, so a class with few
+    of its own has about the limit of all. Random strings are counted over all
+    lengths, as most are as long as the fixed patterns make them.
     """
     place = F.greatest(F.lit(0), F.ceil(token_score(F.col("token"), ratios) / _BIN)).cast("int")
-    scored = tokens.filter(_held_out()).select("random", _length_class(F.col("token")).alias("length"), place.alias("bin"))
+    scored = tokens.filter(_held_out()).select("random", "sure", _length_class(F.col("token")).alias("length"), place.alias("bin"))
     random, whole, classes = Counter(), Counter(), [Counter() for _ in LENGTHS]
-    for row in scored.groupBy("random", "length", "bin").count().collect():
+    for row in scored.groupBy("random", "sure", "length", "bin").count().collect():
         for counts in (random,) if row["random"] else (whole, classes[row["length"]]):
-            counts[row["bin"]] += row["count"]
-    return [_limit(c if sum(c.values()) >= LEAST_SURE else whole, random, false_alarms) * _BIN for c in classes]
+            counts[row["bin"]] += row["count"] * (1 if row["random"] or row["sure"] else unsure)
+    n = sum(whole.values())
+    spread = lambda own: {b: own[b] + PRIOR * c / n for b, c in whole.items()}
+    return [_limit(spread(own), random, false_alarms) * _BIN for own in classes]
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_alarms: float = FALSE_ALARMS) -> DataFrame:
@@ -223,18 +228,21 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     as often; other columns are ignored. Without any token to learn from the models
     are equal and add nothing.
     """
-    tokens = learned_from(stored(labelled_tokens(docs, text_col), "tokens"))
-    ratios = log_ratios(tokens)
-    limits = F.array(*map(F.lit, thresholds(tokens, ratios, false_alarms)))
+    tokens = stored(labelled_tokens(docs, text_col), "tokens")
+    unsure = unsure_weight(tokens)
+    ratios = log_ratios(tokens, unsure)
+    limits = F.array(*map(F.lit, thresholds(tokens, ratios, unsure, false_alarms)))
     df = with_base_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     df = _spans(df, "_tokens", f"(?:{ASSIGN})|{RANDOM_TOKEN}", 3, check=RANDOM_TOKEN)
     base_inside = rf"^(?i:password|passwd|secret|token|api_?key)=|(?i:password|passwd|secret|token|api_?key)=[A-Za-z0-9+/_=-]{{{MIN_ASSIGNED},}}|[0-9a-f]{{{MIN_HEX},}}|AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}"
     free = F.filter("_tokens", lambda s: s["match"].rlike(f"^{IDENTIFIER}$") & ~s["match"].rlike(base_inside))
     df = df.withColumn("_free", free)
     random = F.filter("_free", lambda s: token_score(s["match"], ratios) > F.get(limits, _length_class(s["match"])))
-    return df.select("doc_id", "_assign", "_access", "_hex", random.alias("markov")).select(
-        "doc_id", F.array_sort(F.concat("_assign", "_access", "_hex")).alias("base"), "markov"
+    found = df.select("doc_id", "_assign", "_access", "_hex", random.alias("markov")).select(
+        "doc_id", F.struct(F.array_sort(F.concat("_assign", "_access", "_hex")).alias("base"), "markov").alias("found")
     )
+    # As a generated row the spans are made once: filters on them, such as an explode brings, stay above.
+    return found.select("doc_id", F.explode(F.array("found")).alias("found")).select("doc_id", "found.base", "found.markov")
 
 
 def span_list(spans: Column) -> Column:
