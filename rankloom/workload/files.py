@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from rankloom.functions.text import display_score
 from rankloom.operators.canonical import clean_delivery, delivery_records
@@ -235,27 +237,34 @@ FROM labels JOIN documents USING (doc_id)
 
 
 def variant_counts(spark, sf_dir):
-    """Documents of each variant, with a vector and without its column."""
+    """Documents of each variant, and those that have a vector."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    counts = None
+    counts = []
     for name, variant in variant_tables(docs, vectors).items():
-        has = variant.where("contentVector IS NOT NULL") if "contentVector" in variant.columns else variant.where("false")
-        row = (
-            document_count(without_vector(variant))
-            .withColumn("variant", F.lit(name))
-            .withColumn("columns", F.lit(",".join(without_vector(variant).columns)))
-            .crossJoin(F.broadcast(document_count(has).withColumnRenamed("documents", "with_vector")))  # one row each
-        )
-        counts = row if counts is None else counts.unionByName(row)
-    return counts
+        plain = without_vector(variant)
+        kinds = {"all": plain}
+        if "contentVector" in variant.columns:
+            kinds["with vector"] = variant.where("contentVector IS NOT NULL")
+        for kind, rows in kinds.items():
+            counts.append(
+                document_count(rows).select(
+                    F.lit(name).alias("variant"),
+                    F.lit(kind).alias("kind"),
+                    F.lit(",".join(plain.columns)).alias("columns"),
+                    "documents",
+                )
+            )
+    return reduce(DataFrame.unionByName, counts)
 
 
 VARIANT_COUNTS_SQL = """
-SELECT 'baseline' AS variant, 'id,body' AS columns, count(*) AS documents, 0::BIGINT AS with_vector FROM documents
+SELECT 'baseline' AS variant, 'all' AS kind, 'id,body' AS columns, count(*) AS documents FROM documents
+UNION ALL
+SELECT 'tuned', 'all', 'id,body', count(*) FROM documents
 UNION ALL
-SELECT 'tuned', 'id,body', count(*), count(vec_id)
-FROM documents LEFT JOIN (SELECT DISTINCT vec_id FROM embeddings WHERE embedding IS NOT NULL) ON vec_id = doc_id
+SELECT 'tuned', 'with vector', 'id,body', count(*)
+FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings WHERE embedding IS NOT NULL)
 """
 
 
