@@ -14,6 +14,7 @@ from rankloom.session import settled
 K1 = 1.2
 B = 0.75
 SCALE = 6  # decimals kept before ranking, so that ties are ties everywhere
+MATCHES_PER_TASK = 4_000_000  # postings met by query terms; a task holds no more pairs than that
 
 
 def query_terms(queries: DataFrame, text: str = "query", term_of=None) -> DataFrame:
@@ -37,7 +38,7 @@ def weighted_query_terms(
     terms: DataFrame, statistics: DataFrame, weights: Mapping[str, float]
 ) -> DataFrame:
     """Query terms with everything scoring needs:
-    ``query_id, field, term, weight, idf, mean_len``.
+    ``query_id, field, term, weight, idf, mean_len``, and ``df``.
 
     Terms no document holds disappear here.
     """
@@ -56,22 +57,37 @@ def weighted_query_terms(
         (F.col("weight") * boost).alias("weight"),
         idf(F.col("n_docs"), F.col("df")).alias("idf"),
         "mean_len",
+        "df",
     )
 
 
-def score_pairs(postings: DataFrame, terms: DataFrame, placed: bool = False) -> DataFrame:
+def scoring_tasks(terms: DataFrame) -> int:
+    """Tasks that score about ``MATCHES_PER_TASK`` matches each, one per core at least.
+
+    ``terms`` is the output of :func:`weighted_query_terms`; a term matches in ``df`` documents.
+    """
+    matches = terms.agg(F.sum("df")).first()[0] or 0
+    return max(terms.sparkSession.sparkContext.defaultParallelism, -(-matches // MATCHES_PER_TASK))
+
+
+def score_pairs(
+    postings: DataFrame, terms: DataFrame, placed: bool = False, tasks: int | None = None
+) -> DataFrame:
     """``query_id, id, score, coverage`` of every document with a query term.
 
     Postings are brought together by document unless they are ``placed`` so (a bucketed
     table). Where the query terms are small enough to be broadcast, sums and the first cut
     of a top-k then need no shuffle of pairs; otherwise the join is by term, and the
-    postings of a frequent term are split by the adaptive join.
+    postings of a frequent term are split by the adaptive join. The pairs of a task grow with
+    its postings times the queries, which Spark cannot see when it chooses partitions by the
+    size of the postings: ``tasks`` (from :func:`scoring_tasks`) fixes their number.
 
     ``coverage`` sums weight and idf of the matched terms, without frequencies.
     """
-    rows = postings if placed else postings.repartition("id")
+    if not placed:
+        postings = postings.repartition(*([] if tasks is None else [tasks]), "id")
     gain = F.col("weight") * F.col("idf")
-    return rows.join(terms, ["field", "term"]).groupBy("query_id", "id").agg(
+    return postings.join(terms, ["field", "term"]).groupBy("query_id", "id").agg(
         F.sum(gain * bm25_gain(F.col("tf"), F.col("len"), F.col("mean_len"))).alias("score"),
         F.sum(gain).alias("coverage"),
     )
@@ -136,7 +152,7 @@ def _asked_words(terms: DataFrame) -> DataFrame:
 def _search(postings, terms, top, weights, adjust, placed) -> DataFrame:
     # Settled, so that the join knows the size of the query side.
     weighted = settled(weighted_query_terms(terms, term_statistics(postings), weights))
-    scored = score_pairs(postings, weighted, placed)
+    scored = score_pairs(postings, weighted, placed, None if placed else scoring_tasks(weighted))
     if adjust is not None:
         scored = adjust(scored)
     scored = scored.withColumn("score", F.round("score", SCALE))

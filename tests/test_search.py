@@ -122,6 +122,18 @@ def test_no_shuffle_between_document_and_pair_sums(spark, corpus):
     assert "WindowGroupLimit" in head
 
 
+def test_pairs_of_a_task_do_not_grow_with_the_documents(spark, corpus, monkeypatch):
+    docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
+    rows = lambda df: sorted((r["query_id"], r["id"], r["score"]) for r in df.collect())
+    expected = rows(keyword_search(docs, terms, {"body": "body"}, None))
+    words = [set(text.lower().split()) for text in corpus]
+    matches = sum(w in text for q in QUERIES for w in set(q.split()) for text in words)
+    monkeypatch.setattr("rankloom.operators.keyword.MATCHES_PER_TASK", 2)
+    found = keyword_search(docs, terms, {"body": "body"}, None)
+    assert found.rdd.getNumPartitions() == -(-matches // 2) > 8
+    assert rows(found) == expected
+
+
 def test_saved_postings_need_no_shuffle(spark, corpus, tmp_path):
     docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
     save_postings(document_postings(docs, {"body": "body"}), "saved_postings", str(tmp_path / "p"), 4)
