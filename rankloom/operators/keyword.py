@@ -61,13 +61,13 @@ def weighted_query_terms(
     )
 
 
-def scoring_tasks(terms: DataFrame) -> int:
-    """Tasks that score about ``MATCHES_PER_TASK`` matches each, one per core at least.
+def scoring_tasks(terms: DataFrame, per_task: int | None = None) -> int:
+    """Tasks that score about ``per_task`` (``MATCHES_PER_TASK``) matches each, one per core at least.
 
-    ``terms`` is the output of :func:`weighted_query_terms`; a term matches in ``df`` documents.
+    ``terms`` has a row with the matches ``df`` per query and term, as :func:`weighted_query_terms` gives.
     """
     matches = terms.agg(F.sum("df")).first()[0] or 0
-    return max(terms.sparkSession.sparkContext.defaultParallelism, -(-matches // MATCHES_PER_TASK))
+    return max(terms.sparkSession.sparkContext.defaultParallelism, -(-matches // (per_task or MATCHES_PER_TASK)))
 
 
 def score_pairs(

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from rankloom.functions.text import _col, allowed_edits, tokens
 from rankloom.operators.fuzzy import one_edit_pairs
+from rankloom.operators.keyword import scoring_tasks
 from rankloom.operators.prefixes import prefix_matches
-from rankloom.session import stored
+from rankloom.session import settled, stored
 
 NO_CONTEXT = ""
+MATCHES_PER_TASK = 1_500_000  # few matches are of the same prefix and document, so a task takes fewer than in a search
 
 
 def prefix_table(prefixes: DataFrame, text: str = "prefix") -> DataFrame:
@@ -164,7 +166,8 @@ def did_you_mean(
         F.when(F.col("pos") == F.size("words") - 1, "start").otherwise("word").alias("kind"),
     )
     all_words = F.array_distinct(F.concat(*[tokens(_col(f)) for f in fields]))
-    vocabulary = stored(docs.select(F.explode(all_words).alias("term")).distinct(), "words")
+    listed = docs.select(F.explode(all_words).alias("term"))
+    vocabulary = stored(listed.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "words")
     full = asked.where(F.col("kind") == "word")
     matches = full.join(near_forms(full.select("term").distinct(), vocabulary, fuzzy), "term").select(
         "prefix_id", "pos", F.col("match").alias("word"), "edits"
@@ -178,9 +181,13 @@ def did_you_mean(
     # A word reached by several beginnings counts with its fewest edits.
     last_words = starts.join(begun, "match").groupBy("term", "word").agg(F.min("edits").alias("edits"))
     matches = matches.unionByName(last.join(last_words, "term").select("prefix_id", "pos", "word", "edits"))
+    # Settled, so that the join knows its size and the words of documents stay in place.
+    matches = settled(matches)
+    met = matches.join(vocabulary.select(F.col("term").alias("word"), "df"), "word")
+    tasks = scoring_tasks(met, MATCHES_PER_TASK)
     # As in the postings, all rows of a document share a partition, and pairs of
     # prefix and document are summed and cut to the top where they arise.
-    placed = docs.select(F.col(id_col).alias("id"), all_words.alias("words")).repartition("id")
+    placed = docs.select(F.col(id_col).alias("id"), all_words.alias("words")).repartition(tasks, "id")
     hits = (
         placed.select("id", F.explode("words").alias("word"))
         .join(matches, "word")

@@ -475,6 +475,19 @@ def test_did_you_mean(spark, site):
     assert found[0]["text"] == "Paspoort verlengen" and found[0]["url"] == "/w"
 
 
+def test_words_of_documents_meet_prefixes_in_place(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"paspoort verlengen {i}") for i in range(30)], "id int, title string")
+    typed = spark.createDataFrame([(1, "paspoort verl"), (2, "verlengen pas")], "prefix_id int, prefix string")
+    rows = lambda df: sorted((r["prefix_id"], r["rank"], r["id"], r["matched"]) for r in df.collect())
+    expected = [(p, i + 1, i, 2) for p in (1, 2) for i in range(3)]
+    monkeypatch.setattr("rankloom.operators.suggest.MATCHES_PER_TASK", 4)
+    found = did_you_mean(docs, ["title"], typed, 3)
+    assert rows(found) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    # two words of 30 documents for either prefix
+    assert ", 30), REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_facets_filters_order(spark, site):
     assert {r["value"]: r["count"] for r in facet_counts(site, "tags").collect()} == {"reizen": 2, "auto": 1, "oud": 1}
     assert [r["id"] for r in newest_first(filter_documents(site, {"tags": "reizen"})).collect()] == [1, 3]
