@@ -4,7 +4,8 @@ Documents are assigned to the nearest of some pivot vectors. A query first searc
 its nearest cells; the distance of its k-th hit there then rules out, by the
 triangle inequality, every cell that cannot hold a closer document. Only the
 remaining cells are searched, in blocks of bounded size, and each block returns
-``k`` rows per query.
+``k`` rows per query. For that, cells are packed into groups: a query is sent once to a
+group that holds such a cell and is compared with the whole group.
 """
 
 from __future__ import annotations
@@ -20,7 +21,13 @@ from rankloom.operators.keyword import SCALE, top_k
 from rankloom.session import settled
 
 BLOCK_ROWS = 4096
+# Blocks of the second pass: rows are copied once per block of the other side, so blocks grow up to this.
+MOST_BLOCK_ROWS = 32768
+BLOCKS_PER_CORE = 16
 MAX_CELLS = 1024
+SLICE = 512  # vectors whose distances from all pivots are held at a time
+CELL_SCORES = 1 << 22  # scores held at a time
+COLUMNS_PER_MAXIMUM = 32
 SLACK = 1e-5  # covers rounding of scores and of the bounds
 
 
@@ -65,7 +72,20 @@ class _Cells:
         plane = (distances**2 - near[:, None] ** 2) / np.where(apart == 0, 1.0, 2 * apart)
         plane = np.where(apart == 0, 0.0, plane)
         bound = np.maximum(np.maximum(distances - self.radii, plane), 0.0)
-        return (bound <= limit[:, None] + SLACK) & (self.counts > 0)
+        # Without a number for a bound nothing is ruled out.
+        return ~(bound > limit[:, None] + SLACK) & (self.counts > 0)
+
+    def groups(self, rows: int) -> np.ndarray:
+        """The group of each cell: consecutive cells of about ``rows`` documents together."""
+        starts = np.cumsum(self.counts) - self.counts
+        return np.unique(starts // rows, return_inverse=True)[1]
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, at most ``SLICE`` at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
 
 
 def vector_rows(rows: DataFrame, name: str) -> DataFrame:
@@ -109,9 +129,7 @@ def knn(
     query_type = dict(queries.dtypes)["query_id"]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in _slices(batches):
             away = _distances(prepared(_matrix(batch.column("vec"))), pivots)
             cell = away.argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
@@ -134,19 +152,20 @@ def knn(
     layout = _Cells(pivots, counts, radii)
     needed = k + 1 if exclude_same_id else k
 
-    def route(first: bool):
+    def route(group: np.ndarray | None):
+        """Queries sent to the cells that hold their first hits, or to the groups of all possible cells."""
+
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
+            for batch in _slices(batches):
                 away = _distances(prepared(_matrix(batch.column("vec"))), layout.pivots)
-                home = layout.nearest_holding(away, needed)
-                if first:
-                    mask = home
+                if group is None:
+                    mask = layout.nearest_holding(away, needed)
                 else:
                     limit = batch.column("limit").to_numpy(zero_copy_only=False).astype(float)
                     limit = np.where(np.isnan(limit), np.inf, limit)
-                    mask = layout.possible(away, limit) & ~home
+                    mask = np.zeros((batch.num_rows, group.max() + 1), dtype=bool)
+                    rows, cell = np.nonzero(layout.possible(away, limit))
+                    mask[rows, group[cell]] = True
                 rows, cell = np.nonzero(mask)
                 picked = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
@@ -164,7 +183,7 @@ def knn(
     hit_schema = f"query_id {query_type}, id {id_type}, score double"
     search = block_search(k, metric, prepared, exclude_same_id, hit_schema)
 
-    first = search_cells(placed, queries.mapInArrow(route(True), routed_schema), counts, search)
+    first = search_cells(placed, queries.mapInArrow(route(None), routed_schema), counts, search)
     if len(pivots) == 1:
         return top_k(first, k)
     near = settled(top_k(first, k))
@@ -181,11 +200,23 @@ def knn(
         ).alias("limit"),
     )
     more = queries.join(limits, "query_id", "left").select("query_id", "vec", "limit")
-    second = search_cells(placed, more.mapInArrow(route(False), routed_schema), counts, search)
-    return top_k(near.drop("rank").unionByName(second), k)
+    block_rows = even_block_rows(docs.sparkSession, int(counts.sum()), near.select("query_id").distinct().count())
+    group = layout.groups(block_rows)
+    grouped = placed.withColumn("cell", F.element_at(F.array(*[F.lit(int(g)) for g in group]), F.col("cell") + 1))
+    second = search_cells(
+        grouped, more.mapInArrow(route(group), routed_schema), np.bincount(group, weights=counts), search, block_rows
+    )
+    # The first hits lie in possible cells too, so they are found again.
+    return top_k(second, k)
+
+
+def even_block_rows(spark, docs: int, queries: int) -> int:
+    """Rows a block takes on either side so that every core gets some pairs of blocks."""
+    pairs = spark.sparkContext.defaultParallelism * BLOCKS_PER_CORE
+    return int(min(max((docs * queries / pairs) ** 0.5, BLOCK_ROWS), MOST_BLOCK_ROWS))
 
 
-def search_cells(placed, routed, counts, search) -> DataFrame:
+def search_cells(placed, routed, counts, search, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Search every routed query in its cells, block by block.
 
     A cell's documents and queries are split into blocks by hash, so a cell of any
@@ -197,7 +228,7 @@ def search_cells(placed, routed, counts, search) -> DataFrame:
         return placed.sparkSession.createDataFrame([], search.schema)
 
     def blocks(sizes):
-        needed = [max(1, -(-int(s) // BLOCK_ROWS)) for s in sizes]
+        needed = [max(1, -(-int(s) // block_rows)) for s in sizes]
         return F.element_at(F.array(*[F.lit(n) for n in needed]), F.col("cell") + 1)
 
     doc_blocks = blocks(counts)
@@ -220,6 +251,43 @@ def search_cells(placed, routed, counts, search) -> DataFrame:
     )
 
 
+def _nearness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The negative squares of the distances."""
+    near = a @ b.T
+    near *= 2
+    near -= (a * a).sum(1)[:, None]
+    near -= (b * b).sum(1)[None, :]
+    return np.minimum(near, -0.0, out=near)
+
+
+def _best(near: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and rounded score of the ``k`` best columns per row; ties go to the smaller column.
+
+    The k-th largest of the maxima of disjoint columns is no more than the k-th largest
+    score, so only the few scores that reach it, rounded, are put in order.
+    """
+    rows, width = near.shape
+    maxima = near
+    if width >= 8 * k * COLUMNS_PER_MAXIMUM:
+        whole = width - width % COLUMNS_PER_MAXIMUM
+        maxima = near[:, :whole].reshape(rows, COLUMNS_PER_MAXIMUM, -1).max(axis=1)
+    least = np.full(rows, -np.inf)
+    if maxima.shape[1] >= k:
+        least = np.partition(maxima, maxima.shape[1] - k, axis=1)[:, -k]
+    # What rounds to the same score counts as equal to it.
+    if metric == "cosine":
+        least = least - 2 * 10.0**-SCALE
+    else:
+        least = np.minimum(least, -((np.sqrt(-least) * (1 + 1e-12) + 2 * 10.0**-SCALE) ** 2))
+    row, at = np.nonzero(near >= np.maximum(least, np.finfo(float).min)[:, None])
+    scores = near[row, at]
+    scores = np.round(scores if metric == "cosine" else -np.sqrt(-scores), SCALE)
+    order = np.lexsort((at, -scores, row))
+    row, at, scores = row[order], at[order], scores[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], at[place < k], scores[place < k]
+
+
 def block_search(k, metric, prepared, exclude_same_id, schema):
     def search(docs: pa.Table, queries: pa.Table) -> pa.Table:
         ids = docs.column("id").to_numpy()
@@ -230,17 +298,15 @@ def block_search(k, metric, prepared, exclude_same_id, schema):
             asked = prepared(_matrix(queries.column("vec")))
             by_id = np.argsort(ids, kind="stable")
             ids, points = ids[by_id], points[by_id]
-            for start in range(0, len(names), 512):
-                part = asked[start : start + 512]
-                scores = part @ points.T if metric == "cosine" else -_distances(part, points)
-                scores = np.round(scores, SCALE)
+            step = max(1, CELL_SCORES // len(ids))
+            for start in range(0, len(names), step):
+                part = asked[start : start + step]
+                near = part @ points.T if metric == "cosine" else _nearness(part, points)
+                near[np.isnan(near)] = -np.inf
                 if exclude_same_id:
-                    scores[names[start : start + 512][:, None] == ids[None, :]] = -np.inf
-                # Stable: equal scores stay in id order.
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-                for i, row in enumerate(best):
-                    row = row[scores[i, row] > -np.inf]
-                    found.append((np.full(len(row), names[start + i]), ids[row], scores[i, row]))
+                    near[names[start : start + step][:, None] == ids[None, :]] = -np.inf
+                row, at, scores = _best(near, k, metric)
+                found.append((names[start + row], ids[at], scores))
         # without hits plain lists, as an empty array of numbers is no array of strings
         columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
         return pa.table(

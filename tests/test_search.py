@@ -134,6 +134,39 @@ def test_pairs_of_a_task_do_not_grow_with_the_documents(spark, corpus, monkeypat
     assert rows(found) == expected
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+@pytest.mark.parametrize("width", [3, 9, 11, 5000])
+def test_best_of_a_block_are_those_of_a_whole_sort(metric, width):
+    rng = np.random.default_rng(width)
+    # whole numbers give many ties
+    asked, points = rng.integers(-3, 4, (40, 6)).astype(float), rng.integers(-3, 4, (width, 6)).astype(float)
+    near = vectors.unit_rows(asked) @ vectors.unit_rows(points).T if metric == "cosine" else vectors._nearness(asked, points)
+    near[:, 1] = -np.inf
+    scores = np.round(near if metric == "cosine" else -np.sqrt(-near), vectors.SCALE)
+    order = np.argsort(-scores, axis=1, kind="stable")[:, :10]
+    expected = [(i, j, scores[i, j]) for i in range(40) for j in order[i] if scores[i, j] > -np.inf]
+    assert [*zip(*vectors._best(near, 10, metric), strict=True)] == expected
+
+
+def test_queries_are_sent_to_groups_of_cells(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 32)))]
+    docs = spark.createDataFrame(rows, "id int, vec array<float>")
+    sent = []
+    kept = vectors.search_cells
+    monkeypatch.setattr(vectors, "search_cells", lambda placed, routed, *more: sent.append(routed.count()) or kept(placed, routed, *more))
+    found = knn(docs, docs.withColumnRenamed("id", "query_id"), 4, "cosine", True, cells=20).collect()
+    # nothing can be ruled out here: 20 cells, but one group
+    assert sent[1] == 300
+    unit = vectors.unit_rows(np.array([v for _, v in rows], dtype=np.float32).astype(float))
+    scores = np.round(unit @ unit.T, vectors.SCALE)
+    np.fill_diagonal(scores, -np.inf)
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :4]
+    assert sorted((r["query_id"], r["rank"], r["id"]) for r in found) == [
+        (i, n + 1, j) for i in range(300) for n, j in enumerate(best[i])
+    ]
+
+
 def test_saved_postings_need_no_shuffle(spark, corpus, tmp_path):
     docs, terms = documents_of(spark, *corpus), query_terms(queries_of(spark, *QUERIES))
     save_postings(document_postings(docs, {"body": "body"}), "saved_postings", str(tmp_path / "p"), 4)
