@@ -39,8 +39,28 @@ def document_postings(
     )
 
 
+def held_terms(docs, fields, id_col="id") -> DataFrame:
+    """One row per term a row of ``docs`` holds in a field: ``id, field, len, term``.
+
+    Made where the row is read, without the frequencies of :func:`document_postings`.
+    """
+    return _split_fields(docs, fields, id_col).select(
+        "id", "field", (F.size("toks") - 1).alias("len"), F.explode_outer(F.array_distinct("toks")).alias("term")
+    )
+
+
 def document_terms(docs, fields, id_col="id", term_of=None) -> DataFrame:
     """One row per token occurrence: ``id, field, len, term``."""
+    terms = _split_fields(docs, fields, id_col).select(
+        "id", "field", (F.size("toks") - 1).alias("len"), F.explode_outer("toks").alias("term")
+    )
+    if term_of is not None:
+        terms = terms.withColumn("term", term_of(F.col("term")))
+    return terms
+
+
+def _split_fields(docs, fields, id_col) -> DataFrame:
+    """``id, field, toks``: the tokens of every field and the empty term."""
     base = docs.select(
         F.col(id_col).alias("id"), *[_col(v).alias(f"_{name}") for name, v in fields.items()]
     )
@@ -51,25 +71,18 @@ def document_terms(docs, fields, id_col="id", term_of=None) -> DataFrame:
     }
     if len(fields) == 1:
         (name,) = fields
-        split = base.select("id", F.lit(name).alias("field"), with_whole[name].alias("toks"))
-    else:
-        split = base.select(
-            "id",
-            F.inline_outer(
-                F.array(
-                    *[
-                        F.struct(F.lit(name).alias("field"), toks.alias("toks"))
-                        for name, toks in with_whole.items()
-                    ]
-                )
-            ),
-        )
-    terms = split.select(
-        "id", "field", (F.size("toks") - 1).alias("len"), F.explode_outer("toks").alias("term")
+        return base.select("id", F.lit(name).alias("field"), with_whole[name].alias("toks"))
+    return base.select(
+        "id",
+        F.inline_outer(
+            F.array(
+                *[
+                    F.struct(F.lit(name).alias("field"), toks.alias("toks"))
+                    for name, toks in with_whole.items()
+                ]
+            )
+        ),
     )
-    if term_of is not None:
-        terms = terms.withColumn("term", term_of(F.col("term")))
-    return terms
 
 
 def restrict_terms(terms: DataFrame, vocabulary: DataFrame | None) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankloom.operators.postings import document_postings
+from rankloom.operators.postings import held_terms
 from rankloom.sources.versions import BUCKET, BucketedTable
 
 
@@ -26,7 +26,8 @@ def upsert_documents(
     if docs.buckets != statistics.buckets:
         raise ValueError("documents and statistics have the same number of buckets")
     touched = docs.upsert(incoming, key)
-    changed = document_postings(docs.read(only=touched), fields, key).withColumn(BUCKET, docs.bucket_of("id"))
+    # A key has one row, so its terms need not meet before they are counted.
+    changed = held_terms(docs.read(only=touched), fields, key).withColumn(BUCKET, docs.bucket_of("id"))
     rows = changed.groupBy(BUCKET, "field", "term").agg(
         F.count(F.lit(1)).alias("df"), F.sum(F.col("len").cast("long")).alias("total_len")
     )

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rankloom.operators.postings import document_postings, term_statistics
+from rankloom.operators.postings import document_postings, held_terms, term_statistics
 from rankloom.plans.collection import collection_statistics, upsert_documents
 from rankloom.sources.versions import BUCKET, BucketedTable
 from rankloom.streaming.log_counts import update_counts
@@ -83,6 +83,14 @@ def test_statistics_follow_the_documents_without_reading_the_others(spark, tmp_p
         upsert_documents(docs, BucketedTable(spark, str(tmp_path / "s2"), 3), change, fields)
 
 
+def test_terms_are_counted_without_moving_postings(spark):
+    docs = spark.createDataFrame([(1, "a b a", "b"), (2, "b", None), (3, None, "c c")], "id int, v string, w string")
+    for fields in ({"v": "v"}, {"v": "v", "w": "w"}):
+        terms = held_terms(docs, fields)
+        assert "Exchange" not in terms._jdf.queryExecution().executedPlan().toString()
+        assert held(term_statistics(terms)) == held(term_statistics(document_postings(docs, fields)))
+
+
 def test_log_counts_grow_and_survive_a_second_run(spark, tmp_path):
     counts = BucketedTable(spark, str(tmp_path / "counts"), 4)
     lines = lambda *rows: spark.createDataFrame(
