@@ -15,7 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.operators.keyword import top_k
-from rankloom.operators.vectors import block_search, search_cells, unit_rows, vector_rows
+from rankloom.operators.vectors import (
+    _slices,
+    block_search,
+    even_block_rows,
+    search_cells,
+    unit_rows,
+    vector_rows,
+)
 
 TABLES, BITS, FLIPS = 16, 6, 2
 # Projections are sums of whole numbers, so they are the same in any order.
@@ -79,9 +86,7 @@ def knn_lsh(
 
     def placed(name: str, probes: bool):
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+            for batch in _slices(batches):
                 vectors = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
                 found = _projections(vectors.astype(np.float64), normals, tables)
                 cells = _probes(found, flips) if probes else _buckets(found)
@@ -100,5 +105,7 @@ def knn_lsh(
     for row in stored_rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # at most a row per bucket
         counts[row["cell"]] = row["n"]
     compare = block_search(k, "cosine", unit_rows, exclude_same_id, f"query_id {query_type}, id {id_type}, score double")
-    found = search_cells(stored_rows, asked, counts, compare)
+    # A bucket is copied once per block of the other side, so blocks are as large as in the exact search.
+    block_rows = even_block_rows(docs.sparkSession, int(counts.sum()) // tables, queries.count())
+    found = search_cells(stored_rows, asked, counts, compare, block_rows)
     return top_k(found.dropDuplicates(["query_id", "id"]), k)

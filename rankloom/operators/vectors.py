@@ -27,7 +27,7 @@ BLOCKS_PER_CORE = 16
 MAX_CELLS = 1024
 SLICE = 512  # vectors whose distances from all pivots are held at a time
 CELL_SCORES = 1 << 22  # scores held at a time
-COLUMNS_PER_MAXIMUM = 32
+COLUMNS_PER_MAXIMUM = 32  # at most
 SLACK = 1e-5  # covers rounding of scores and of the bounds
 
 
@@ -260,6 +260,16 @@ def _nearness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(near, -0.0, out=near)
 
 
+def _leave_out(near: np.ndarray, names: np.ndarray, ids: np.ndarray) -> None:
+    """Let no query find its own id among the sorted ``ids``."""
+    if names.dtype.kind != "i" or ids.dtype.kind != "i":
+        near[names[:, None] == ids[None, :]] = -np.inf
+        return
+    first, after = np.searchsorted(ids, names, "left"), np.searchsorted(ids, names, "right")
+    for row in np.nonzero(first < after)[0]:
+        near[row, first[row] : after[row]] = -np.inf
+
+
 def _best(near: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, column and rounded score of the ``k`` best columns per row; ties go to the smaller column.
 
@@ -268,9 +278,8 @@ def _best(near: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray
     """
     rows, width = near.shape
     maxima = near
-    if width >= 8 * k * COLUMNS_PER_MAXIMUM:
-        whole = width - width % COLUMNS_PER_MAXIMUM
-        maxima = near[:, :whole].reshape(rows, COLUMNS_PER_MAXIMUM, -1).max(axis=1)
+    if (columns := min(width // (4 * k), COLUMNS_PER_MAXIMUM)) > 1:
+        maxima = near[:, : width - width % columns].reshape(rows, columns, -1).max(axis=1)
     least = np.full(rows, -np.inf)
     if maxima.shape[1] >= k:
         least = np.partition(maxima, maxima.shape[1] - k, axis=1)[:, -k]
@@ -298,13 +307,15 @@ def block_search(k, metric, prepared, exclude_same_id, schema):
             asked = prepared(_matrix(queries.column("vec")))
             by_id = np.argsort(ids, kind="stable")
             ids, points = ids[by_id], points[by_id]
+            finite = np.isfinite(points).all() and np.isfinite(asked).all()
             step = max(1, CELL_SCORES // len(ids))
             for start in range(0, len(names), step):
                 part = asked[start : start + step]
                 near = part @ points.T if metric == "cosine" else _nearness(part, points)
-                near[np.isnan(near)] = -np.inf
+                if not finite:
+                    near[np.isnan(near)] = -np.inf
                 if exclude_same_id:
-                    near[names[start : start + step][:, None] == ids[None, :]] = -np.inf
+                    _leave_out(near, names[start : start + step], ids)
                 row, at, scores = _best(near, k, metric)
                 found.append((names[start + row], ids[at], scores))
         # without hits plain lists, as an empty array of numbers is no array of strings
