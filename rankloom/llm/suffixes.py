@@ -1,21 +1,25 @@
-"""Repeated byte strings by a distributed difference-cover suffix sort.
+"""Repeated byte strings by a distributed suffix sort at sampled places.
 
-Only the first ``LENGTH`` bytes of a suffix matter, so the recursion on names ends
-when the names cover them:
+Only the first ``LENGTH`` bytes of a suffix matter, and equal strings have to be compared
+at one common place only, so few suffixes are sorted:
 
 0. Of equal texts only those of the smallest document are sorted; all others are
    repeats as a whole.
-1. Places that can't start a repeated string are left out exactly: every string of
-   ``LENGTH`` bytes holds the smallest hash of its ``GRAM``-byte grams, so only strings
-   around grams that several documents select can repeat.
-2. Places with offset 1 or 2 modulo 3 (a difference cover of 3) are the sample. A
-   sampled place is named by the rank of its ``STEP`` bytes among all sampled places.
-3. The names at i, i + STEP and i + 2 * STEP form a triple over ``3 * STEP`` bytes
-   (STEP is a multiple of 3, so all three are sampled); triples are sorted and named.
-4. The other suffixes are merged through the sample: of any two places at least one
-   distance of 0, 1 or 2 leads both to sampled places, so equal strings meet as equal
-   name plus the few bytes before and behind that the name leaves out. The first
-   document of every run of equal strings keeps it.
+1. Places are sampled by content (a string synchronizing set, where a difference cover would
+   sample by number): every string of ``LENGTH`` bytes has the place of its ``GRAM`` bytes of
+   smallest hash. Equal strings have it at the same distance, so each one is met through one
+   sampled place instead of one for every offset of a cover. Neighbouring strings share it.
+2. A string can only repeat if its own gram is the smallest one in a string of another
+   document too; the other runs of strings are left out, which is exact.
+3. The suffixes at the sampled places that are left are sorted, and the reversed
+   prefixes before them. The longest common prefixes of neighbours give the classes of equal
+   bytes of any number behind and before a place.
+4. The strings are merged by their distance: those that start d bytes before their sampled
+   places are equal where d bytes before and ``LENGTH`` - d bytes behind are of one class
+   each. The first document of every class keeps the string.
+
+Sampled places of one gram are merged in one task. Grams of more than ``CROWDED``
+places are not: each of their strings is grouped by itself, its bytes being the key.
 """
 
 from __future__ import annotations
@@ -25,18 +29,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rankloom.llm.bytework import parts, prefix_hashes, slice_hashes
-from rankloom.session import stored
+from rankloom.llm.bytework import mixed, parts, powers, prefix_hashes
+from rankloom.session import remove, scratch_path, stored
 
 LENGTH = 50
 GRAM = 18
-STEP = 15
-_PART = 1 << 20
+CROWDED = 1 << 16
+_BEHIND = LENGTH - GRAM  # the largest distance of a string from its gram
+_PART = 1 << 18
+_PIECE = 1 << 14  # sampled places merged at once, at least
+_PLACE_BITS = np.uint64(24)
 _NULL_ID = -(2**63)
-_TAIL = LENGTH - 3 * STEP
 
 
 def _ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -76,209 +81,226 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
-def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the grams that are smallest in some string of ``LENGTH`` bytes of one row."""
-    none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    if len(data) < LENGTH:
-        return none
-    width = LENGTH - GRAM + 1
-    starts = np.arange(len(data) - GRAM + 1)
-    grams = slice_hashes(prefix_hashes(data), starts, starts + GRAM) | np.uint64(1)
-    least = _sliding(grams, width, np.minimum)
-    places = np.arange(len(least))
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    least = np.where(places + LENGTH <= ends[places], least, np.uint64(0))
-    pad = np.zeros(width - 1, dtype=np.uint64)
-    chosen = np.flatnonzero(_sliding(np.concatenate([pad, least, pad]), width, np.maximum) == grams)
-    return chosen, grams[chosen]
-
-
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of strings with the same smallest gram: its hash, the first start, how many start, the gram's distance.
+
+    Smallest are the upper bits of a hash, then the first place. Long rows are cut into
+    stretches, and a run at such a cut is given in two.
+    """
+    found = [(np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))]
+    for at in range(0, len(data) - LENGTH + 1, 1 << 20):
+        piece = data[at : at + (1 << 20) + LENGTH - 1]
+        sums = prefix_hashes(piece)
+        with np.errstate(over="ignore"):
+            grams = mixed((sums[GRAM:] - sums[:-GRAM]) * powers(len(sums))[1][: len(sums) - GRAM])
+        places = np.arange(len(grams), dtype=np.uint64)
+        least = _sliding((grams >> _PLACE_BITS << _PLACE_BITS) | places, _BEHIND + 1, np.minimum)
+        least = (least & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
+        inside = np.ones(len(least), dtype=bool)
+        for end in offsets[np.searchsorted(offsets, at, side="right") :] - at:
+            if end >= len(least) + LENGTH:
+                break
+            inside[max(0, end - LENGTH + 1) : end] = False
+        starts = np.flatnonzero(inside)
+        least = least[starts]
+        fresh = np.ones(len(starts), dtype=bool)
+        fresh[1:] = (least[1:] != least[:-1]) | (starts[1:] != starts[:-1] + 1)
+        first = np.flatnonzero(fresh)
+        begins = starts[first]
+        found.append((grams[least[first]], begins + at, np.diff(first, append=len(starts)), least[first] - begins))
+    return tuple(np.concatenate(column) for column in zip(*found))
+
+
+def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, _, data, offsets in parts(batch.column(1), _PART):
-            at, grams = _anchors(data, offsets)
-            row = np.searchsorted(offsets, at, side="right") - 1
+        for low, _, data, offsets in parts(batch.column(2), _PART):
+            grams, starts, counts, distances = _runs(data, offsets)
+            row = np.searchsorted(offsets, starts, side="right") - 1
             index = pa.array(row + low)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams.view(np.int64)), batch.column(0).take(index), pa.array((at - offsets[row]).astype(np.int32))],
-                names=["gram", "doc", "pos"],
+                [
+                    pa.array(grams.view(np.int64)),
+                    batch.column(0).take(index),
+                    batch.column(1).take(index),
+                    pa.array((starts - offsets[row]).astype(np.int32)),
+                    pa.array(counts.astype(np.int8)),
+                    pa.array(distances.astype(np.int8)),
+                ],
+                names=["gram", "doc", "tag", "start", "n", "distance"],
             )
 
 
 def _candidates(texts: DataFrame) -> DataFrame:
-    """``doc, anchors`` of the documents with grams that several documents select."""
-    rows = texts.select("doc", "text").mapInArrow(_anchor_rows, "gram long, doc long, pos int")
-    shared = rows.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select("gram")
-    found = rows.join(stored(shared, "grams"), "gram", "left_semi")
-    return stored(found.groupBy("doc").agg(F.collect_set("pos").alias("anchors")), "anchors")
-
-
-def _packed(padded: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
-    """``count`` bytes from each place as one big-endian number."""
-    out = np.zeros(len(at), dtype=np.int64)
-    for k in range(count):
-        out = (out << 8) | padded[at + k]
-    return out
+    """``doc, tag, runs``: the runs of strings of every text whose gram several documents select.
 
+    ``crowded`` tells runs of grams that more than ``CROWDED`` runs have.
+    """
+    spark = texts.sparkSession
+    path = scratch_path(spark, "runs")
+    rows = texts.select("doc", "tag", "text").mapInArrow(
+        _run_rows, "gram long, doc long, tag long, start int, n byte, distance byte"
+    )
+    rows = stored(rows, path=path)
+    grams = rows.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("held"))
+    shared = stored(grams.filter("a < b").select("gram", (F.col("held") > CROWDED).alias("crowded")), "grams")
+    kept = stored(rows.join(shared, "gram"), "kept")
+    remove(spark, path)
+    run = F.struct("gram", "start", "n", "distance", "crowded")
+    return stored(kept.groupBy("doc", "tag").agg(F.collect_set(run).alias("runs")), "found")
 
-def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sampled places that candidates need, with their first bytes.
 
-    ``own`` has bit d set when the string that starts d bytes earlier is a candidate;
-    places without bits only lend their name to a triple. ``around`` packs the two
-    bytes before and the bytes behind what a triple covers. Anchors are those of all texts
-    of the document, so some may lie behind the end of this one.
-    """
-    width = LENGTH - GRAM
-    for batch in batches:
-        for doc, tag, text, anchors in zip(*(batch.column(k) for k in range(4))):
-            data = np.frombuffer(text.as_py().encode(), dtype=np.uint8)
-            n = len(data)
-            starts = np.zeros(n + 1, dtype=np.int64)
-            at = np.asarray(anchors.values)
-            at = at[at < n]
-            np.add.at(starts, np.maximum(at - width, 0), 1)
-            np.add.at(starts, at + 1, -1)
-            candidate = np.cumsum(starts[:-1]) > 0
-            candidate[max(0, n - LENGTH + 1) :] = False
-            own = np.zeros(n + 3, dtype=np.int32)
-            for back in range(3):
-                own[back : back + n] |= candidate.astype(np.int32) << back
-            own[::3] = 0
-            owners = np.flatnonzero(own)
-            places = np.unique(np.concatenate([owners + k * STEP for k in range(3)]))
-            padded = np.concatenate([np.zeros(2, dtype=np.int64), data.astype(np.int64), np.zeros(LENGTH + STEP + 4, dtype=np.int64)])
-            here = places + 2
-            around = (_packed(padded, here - 2, 2) << (8 * _TAIL)) | _packed(padded, here + 3 * STEP - 0, _TAIL) if n else here
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(places), doc.as_py())),
-                    pa.array(np.full(len(places), tag.as_py())),
-                    pa.array(places.astype(np.int32)),
-                    pa.array(np.where(places < len(own), own[np.minimum(places, len(own) - 1)], 0).astype(np.int32)),
-                    pa.array(around),
-                    pa.array(_packed(padded, here, 7)),
-                    pa.array(_packed(padded, here + 7, 8)),
-                ],
-                names=["doc", "tag", "pos", "own", "around", "k1", "k2"],
-            )
+def _slices(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: int = 1) -> pa.Array:
+    """``lengths`` bytes from every start, or backwards from it with a ``step`` of -1."""
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    index = np.repeat(starts - step * ends[:-1], lengths) + step * np.arange(ends[-1])
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[index])]
+    return pa.Array.from_buffers(pa.binary(), len(starts), buffers)
 
 
-def _namer(keys: list[str]):
-    def locally_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Replaces the keys by the number of different keys so far in this sorted range.
-
-        Only the first row of the range and the last one of every batch keep their keys.
-        """
-        part = TaskContext.get().partitionId()
-        last, count = None, -1
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-            fresh = np.zeros(batch.num_rows, dtype=bool)
-            for value in values:
-                fresh[1:] |= value[1:] != value[:-1]
-            fresh[0] = last != tuple(value[0] for value in values)
-            names = count + np.cumsum(fresh)
-            edge = np.zeros(batch.num_rows, dtype=bool)
-            edge[0] = last is None
-            edge[-1] = True
-            last, count = tuple(value[-1] for value in values), int(names[-1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(c for c, n in zip(batch.columns, batch.schema.names) if n not in keys),
-                    pa.array(names),
-                    pa.array(np.full(len(names), part, dtype=np.int32)),
-                    *(pa.array(value, mask=~edge) for value in values),
-                ],
-                names=[*(n for n in batch.schema.names if n not in keys), "local", "part", *keys],
-            )
+def _run_slices(batches: Iterator[pa.RecordBatch], crowded: bool):
+    """``data, index of the rows, start in data, start in the text, n, distance, gram`` of a few thousand runs at a time."""
+    for batch in batches:
+        lists = batch.column(3)
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        runs = lists.flatten()
+        values = {k: runs.field(k).to_numpy(zero_copy_only=False) for k in ("gram", "start", "n", "distance", "crowded")}
+        for low, high, data, offsets in parts(batch.column(2), _PART):
+            mine = slice(ends[low], ends[high])
+            row = np.repeat(np.arange(high - low), np.diff(ends[low : high + 1]))
+            chosen = np.flatnonzero(values["crowded"][mine] == crowded)
+            for at in range(0, len(chosen), 1 << 13):
+                some = chosen[at : at + (1 << 13)]
+                gram, start, n, distance = (values[k][mine][some] for k in ("gram", "start", "n", "distance"))
+                start = start.astype(np.int64)
+                index = row[some]
+                yield batch, data, index + low, offsets[index] + start, start, n.astype(np.int64), distance.astype(np.int64), gram
 
-    return locally_named
 
+def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sampled places with the bytes behind and, backwards, before them that their strings reach."""
+    for batch, data, index, begins, starts, n, distance, gram in _run_slices(batches, False):
+        taken = pa.array(index)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(gram),
+                batch.column(0).take(taken),
+                batch.column(1).take(taken),
+                pa.array(starts.astype(np.int32)),
+                _slices(data, begins + distance - 1, distance, -1),
+                _slices(data, begins + distance, n + LENGTH - 1 - distance),
+            ],
+            names=["gram", "doc", "tag", "start", "before", "behind"],
+        )
+
+
+def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strings of crowded grams, one by one."""
+    for batch, data, index, begins, starts, n, _, _ in _run_slices(batches, True):
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        taken = pa.array(np.repeat(index, n))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(taken),
+                batch.column(1).take(taken),
+                pa.array((np.repeat(starts, n) + step).astype(np.int32)),
+                _slices(data, np.repeat(begins, n) + step, np.full(len(step), LENGTH)),
+            ],
+            names=["doc", "tag", "start", "string"],
+        )
+
+
+def _padded(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of every row, filled up with zeros to ``width``, and how many they were."""
+    _, where, content = column.buffers()
+    ends = np.frombuffer(where, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    lengths = np.diff(ends).astype(np.int64)
+    out = np.zeros((len(column), width), dtype=np.uint8)
+    if content is not None:
+        out[np.arange(width) < lengths[:, None]] = np.frombuffer(content, dtype=np.uint8)[ends[0] : ends[-1]]
+    return out, lengths
+
+
+def _common(rows: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of every row with the one before; -1 for the first."""
+    same = np.ones((len(rows), rows.shape[1] + 1), dtype=bool)
+    same[1:, :-1] = rows[1:] == rows[:-1]
+    same[:, -1] = False
+    out = same.argmin(axis=1)
+    out[0] = -1
+    return out
 
-def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with ``name``, the dense rank of ``keys`` over the whole table, in their place.
 
-    Ranges are cut by key, document and place, so a key that very many documents hold
-    spreads; a range that begins with the last key of the one before continues its name.
-    One row per range reaches the driver.
-    """
-    ordered = rows.repartitionByRange(*keys, "doc", "pos").sortWithinPartitions(*keys, "doc", "pos")
-    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n not in keys) + ", local long, part int"
-    schema += "".join(f", {k} long" for k in keys)
-    found = stored(ordered.mapInArrow(_namer(keys), schema), "named")
-    key = F.struct(*keys)
-    edges = found.filter(F.col(keys[0]).isNotNull())
-    ranges = edges.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.max("local").alias("top"))
-    offsets, following, before = [], 0, None
-    for row in sorted(ranges.collect(), key=lambda r: r["part"]):
-        base = following - (row["first"] == before)
-        offsets.append((row["part"], base))
-        following, before = base + row["top"] + 1, row["last"]
-    table = F.broadcast(rows.sparkSession.createDataFrame(offsets or [(0, 0)], "part int, base long"))
-    return found.join(table, "part").withColumn("name", F.col("base") + F.col("local")).drop("part", "base", "local", *keys)
-
-
-def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces names by the triples of names at a place and one and two steps on.
-
-    Rows come by document and place; the last rows of a batch wait for the places that
-    may follow in the next one.
-    """
-    names = ["doc", "tag", "pos", "own", "around", "k1", "k2", "k3"]
-    held = None
+def _merged(piece: pa.Table) -> pa.RecordBatch:
+    """Runs of strings that a smaller document holds too; ``piece`` holds whole grams, sorted by them and ``behind``."""
+    gram, doc, starts = (piece.column(k).to_numpy() for k in ("gram", "doc", "start"))
+    behind, lengths = _padded(piece.column("behind").combine_chunks(), LENGTH)
+    before, far = _padded(piece.column("before").combine_chunks(), _BEHIND)
+    near = LENGTH - lengths
+    after = _common(behind)
+    after[1:][gram[1:] != gram[:-1]] = -1
+    backwards = np.lexsort(np.ascontiguousarray(before).view(">u8").T[::-1].astype(np.uint64))
+    ahead = _common(before[backwards])
+    again = np.zeros((len(gram), _BEHIND + 3), dtype=bool)  # a column without repeats at either end
+    classes = np.zeros(len(gram), dtype=np.int64)
+    for d in range(_BEHIND + 1):
+        mine = np.flatnonzero((near <= d) & (d <= far))
+        if not len(mine):
+            continue
+        classes[backwards] = np.cumsum(ahead < d)
+        key = (np.cumsum(after < LENGTH - d)[mine] << 32) | classes[mine]
+        order = np.argsort(key)
+        mine, key = mine[order], key[order]
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        first = np.repeat(np.minimum.reduceat(doc[mine], heads), np.diff(heads, append=len(key)))
+        again[mine, d + 1] = doc[mine] > first
+    row, nearest = np.nonzero(again[:, 1:] & ~again[:, :-1])
+    farthest = np.nonzero(again[:, :-1] & ~again[:, 1:])[1] - 1
+    taken = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [
+            piece.column("doc").combine_chunks().take(taken),
+            piece.column("tag").combine_chunks().take(taken),
+            pa.array((starts[row] + far[row] - farthest).astype(np.int32)),
+            pa.array((farthest - nearest + 1).astype(np.int8)),
+        ],
+        names=["doc", "tag", "start", "n"],
+    )
 
-    def out(columns, ready):
-        doc, tag, pos, own, around, name = columns
-        turn = np.concatenate([[0], np.cumsum((doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]))])
-        key = (turn << 32) | pos
-        chosen = np.flatnonzero((own > 0) & ready)
-        at = [np.searchsorted(key, key[chosen] + k * STEP) for k in (1, 2)]
-        kept = (c[chosen] for c in (doc, tag, pos, own, around, name))
-        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in kept), *(pa.array(name[a]) for a in at)], names=names)
 
+def _merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
-        if held is not None:
-            columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
-        doc, tag, pos = columns[:3]
-        waits = (doc == doc[-1]) & (tag == tag[-1]) & (pos > pos[-1] - 2 * STEP)
-        yield out(columns, ~waits)
-        held = [c[waits] for c in columns]
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        gram = held.column("gram").to_numpy()
+        whole = int(np.searchsorted(gram, gram[-1]))
+        if whole >= _PIECE:
+            yield _merged(held.slice(0, whole))
+            held = held.slice(whole)
     if held is not None:
-        yield out(held, np.ones(len(held[0]), dtype=bool))
+        yield _merged(held)
 
 
 def _repeats(texts: DataFrame) -> DataFrame:
-    """``doc, tag, pos``: starts of strings that a document with a smaller id holds too."""
-    sampled = texts.join(_candidates(texts), "doc").select("doc", "tag", "text", "anchors")
-    bytes_named = _named(
-        sampled.mapInArrow(_sample_rows, "doc long, tag long, pos int, own int, around long, k1 long, k2 long"), ["k1", "k2"]
-    )
-    columns = ["doc", "tag", "pos", "own", "around", "name"]
-    by_text = bytes_named.select(*columns).repartition("doc", "tag").sortWithinPartitions("doc", "tag", "pos")
-    triples = by_text.mapInArrow(
-        _triples, "doc long, tag long, pos int, own int, around long, k1 long, k2 long, k3 long"
+    """``doc, tag, start, n``: runs of starts of strings that a document with a smaller id holds too."""
+    found = _candidates(texts)
+    sampled = texts.join(found, ["doc", "tag"]).select("doc", "tag", "text", "runs")
+    places = sampled.mapInArrow(
+        _sample_rows, "gram long, doc long, tag long, start int, before binary, behind binary"
     )
-    named = _named(triples, ["k1", "k2", "k3"])
-    # what a name leaves out of the string that starts d bytes before the sampled place
-    around = F.col("around")
-    outside = [
-        around.bitwiseAND(F.lit((1 << 8 * _TAIL) - 1)),
-        F.shiftright(around.bitwiseAND(F.lit((1 << 8 * (_TAIL + 1)) - 1)), 8),
-        F.shiftright(around, 16),
-    ]
-    found = []
-    for back in range(3):
-        mine = named.filter(F.col("own").bitwiseAND(F.lit(1 << back)) != 0).withColumn("rest", outside[back])
-        firsts = mine.groupBy("name", "rest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-        later = mine.join(stored(firsts.select("name", "rest", "first"), "firsts"), ["name", "rest"]).filter("doc > first")
-        found.append(later.select("doc", "tag", (F.col("pos") - back).alias("pos")))
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    by_gram = places.repartition("gram").sortWithinPartitions("gram", "behind")
+    repeats = by_gram.mapInArrow(_merged_rows, "doc long, tag long, start int, n byte")
+    if found.select(F.explode("runs.crowded").alias("crowded")).filter("crowded").isEmpty():
+        return repeats
+    path = scratch_path(texts.sparkSession, "strings")
+    strings = stored(sampled.mapInArrow(_string_rows, "doc long, tag long, start int, string binary"), path=path)
+    firsts = strings.groupBy("string").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    later = strings.join(stored(firsts.select("string", "first"), "firsts"), "string").filter("doc > first")
+    later = stored(later.select("doc", "tag", "start", F.lit(1).cast("byte").alias("n")), "crowded")
+    remove(texts.sparkSession, path)
+    return repeats.unionByName(later)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,9 +313,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copied.as_py():
                 gone[0] = len(data) >= LENGTH
             elif starts.is_valid:
-                at = np.asarray(starts.values)
+                at, n = (starts.values.field(k).to_numpy() for k in ("start", "n"))
                 np.add.at(gone, at, 1)
-                np.add.at(gone, at + LENGTH, -1)
+                np.add.at(gone, at + n + (LENGTH - 1), -1)
             removed = np.cumsum(gone)[:-1] > 0
             kept = data[~removed].tobytes()
             spans = int((removed & ~np.concatenate([[False], removed[:-1]])).sum()) if len(data) else 0
@@ -318,7 +340,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are ignored.
     """
     texts = _ids(docs, id_col, text_col)
-    starts = _repeats(texts.filter("not copied")).groupBy("doc", "tag").agg(F.collect_set("pos").alias("starts"))
+    starts = _repeats(texts.filter("not copied")).groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "n")).alias("starts"))
+    starts = stored(starts, "starts")
     joined = texts.join(starts, ["doc", "tag"], "left").select("doc", "text", "copied", "starts")
     rows = joined.mapInArrow(_cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return rows.withColumn("doc_id", F.when(F.col("doc") != _NULL_ID, F.col("doc"))).select(

@@ -47,25 +47,26 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; never reused, removed when Python ends."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    atexit.register(remove, spark, path)
     return path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that nothing reads any more."""
     with contextlib.suppress(Exception):  # the JVM may be gone already
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def stored(df: DataFrame, name: str = "table") -> DataFrame:
-    """``df`` computed once, written as Parquet to the shared folder and read back.
+def stored(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
+    """``df`` computed once, written as Parquet to the shared folder (or ``path`` in it) and read back.
 
     For intermediate results that several later passes read: an executor that
     is lost takes nothing with it, and later passes read only their columns.
     The shuffle files behind it go as soon as it is written, as nothing reads them again.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     before = spark.conf.get(_SHUFFLE_CLEANUP, None)
     spark.conf.set(_SHUFFLE_CLEANUP, "true")
     try:

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -205,6 +206,51 @@ def test_suffixes_against_brute_force(spark, empty):
     assert suffixes.without_repeats(empty).count() == 0
 
 
+def test_suffixes_of_crowded_grams_odd_ids_and_clashing_columns(spark, monkeypatch):
+    rng = random.Random(5)
+    stock = "".join(rng.choice("ab ") for _ in range(120))
+    rows = []
+    for k in range(60):
+        text = "".join(rng.choice("abc ") for _ in range(rng.randrange(0, 200)))
+        at = rng.randrange(0, 60)
+        rows.append((rng.choice([None, *range(40)]), text + stock[at : at + rng.randrange(0, 100)] + text[:20]))
+    rows += [(3, "x" * 90 + stock), (3, "x" * 90 + stock), (9, "x" * 90 + stock), (None, "x" * 70), (2, None)]
+    first = {}
+    for i, text in rows:
+        data = (text or "").encode()
+        for p in range(len(data) - 49):
+            first[data[p : p + 50]] = min(first.get(data[p : p + 50], 99), -1 if i is None else i)
+    expected = []
+    for i, text in rows:
+        data = (text or "").encode()
+        gone = {q for p in range(len(data) - 49) if first[data[p : p + 50]] < (-1 if i is None else i) for q in range(p, p + 50)}
+        expected.append((i, bytes(c for q, c in enumerate(data) if q not in gone)))
+    given = spark.createDataFrame([(*row, 1, b"") for row in rows], "doc_id long, text string, gram int, kept binary")
+    for crowded in (suffixes.CROWDED, 3):
+        monkeypatch.setattr(suffixes, "CROWDED", crowded)
+        got = [(r["doc_id"], bytes(r["kept"])) for r in suffixes.without_repeats(given).collect()]
+        assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_suffixes_across_cuts_of_long_texts(spark):
+    rng = random.Random(6)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(1000))
+    long = "".join(rng.choice("abcdefgh ") for _ in range(2**20 - 500)) + shared
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffixes.without_repeats(spark.createDataFrame([(1, long + "é" * 20), (2, shared), (3, "z" + shared + long[:70])], "doc_id long, text string")).collect()}
+    assert got == {1: (0, 0), 2: (1000, 1), 3: (1070, 1)}
+
+
+def test_suffixes_sort_only_sampled_places_and_leave_no_tables_of_them(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(5000)) for _ in range(20)]
+    docs = spark.createDataFrame([(k, texts[k // 2] + str(k)) for k in range(40)], "doc_id long, text string")
+    found = suffixes._candidates(suffixes._ids(docs, "doc_id", "text")).selectExpr("doc", "inline(runs)").collect()
+    assert sum(r["n"] for r in found) >= 40 * 4900
+    assert len(found) <= 40 * 5000 / 10  # a difference cover of 3 samples two of three places
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert not [name for name in os.listdir(folder) if name.startswith("runs-")]
+
+
 def test_secrets(spark, docs, empty):
     rng = random.Random(1)
     token = "".join(rng.choice("ABCDEFGHJKabcdefghjk0123456789") for _ in range(40))
