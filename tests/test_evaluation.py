@@ -13,8 +13,9 @@ from rankloom.operators.log_mining import (
     zero_result_queries,
 )
 from rankloom.operators.metrics import config_metrics, lift, query_metrics
+from rankloom.plans import evaluation
 from rankloom.plans.evaluation import comparisons, evaluate
-from rankloom.plans.search import Index, query_outcomes
+from rankloom.plans.search import Index, query_outcomes, run_queries
 from rankloom.sources.judgments import clean_judgments, read_judgments
 from rankloom.sources.query_log import append_log, log_rows, read_log, split_malformed
 from rankloom.sources.sinks import write_reports
@@ -119,6 +120,28 @@ def test_evaluate_end_to_end(spark):
     assert (base["success_at_1"], base["zero_result_rate"]) == (round(2 / 3, 6), round(1 / 3, 6))
 
 
+def test_evaluate_searches_with_numbers_and_reads_grades_once(spark, monkeypatch):
+    docs = spark.createDataFrame([("d1", "Paspoort", "aanvragen", "/1", [])], "id string, title string, body string, url string, tags array<string>")
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(query):
+        counted.add(1)
+        return query
+
+    judged = spark.createDataFrame([("paspoort", "/1", 2), ("paspoort", "x", 3), (None, "d1", 3)], JUDGED)
+    kinds = []
+    monkeypatch.setattr(evaluation, "run_queries", lambda index, queries, *a, **k: kinds.append(dict(queries.dtypes)["query_id"]) or run_queries(index, queries, *a, **k))
+    indexes = {"baseline": Index(docs)}
+    _, per_query = evaluate(indexes, judged, comparisons(indexes))
+    assert kinds == ["bigint"]
+    got = {r["query"]: (r["intended_id"], r["rank"], r["num_results"], r["ndcg_at_10"]) for r in per_query.collect()}
+    assert got == {"paspoort": ("x", 1, 1, round(3 / (7 + 3 / math.log2(3)), 6)), None: ("d1", None, 0, 0.0)}
+    results = spark.createDataFrame([("c", "paspoort", "d1", "/1", 1)], RESULTS)
+    query_metrics(results, judged.withColumn("query", seen("query")), ["c"]).collect()
+    assert counted.value == 3
+
+
 def test_log_round_trip(spark, tmp_path):
     queries = spark.createDataFrame([(1, "a"), (2, "b")], "query_id int, query string")
     results = spark.createDataFrame([(1, f"d{i}", i) for i in range(1, 8)], "query_id int, id string, rank int")
